@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +57,23 @@ def release(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/braidlake")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of all executors; done once per context."""
+    context = spark.sparkContext
+    if getattr(context, "_braidlake_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="braidlake-ship-")) / "braidlake.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, str(Path(root.name) / source.relative_to(root)))
+    context.addPyFile(str(target))
+    context._braidlake_shipped = True
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
