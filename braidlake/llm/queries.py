@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from braidlake.runtime import table
 
-from . import chat, quality, simhash, toxicity
+from . import chat, langid, mixing, packing, quality, sharding, simhash, toxicity
 from .common import fold
 
 
@@ -46,8 +46,47 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by automata learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    return found.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "phrase_chars")
+
+
+def op8_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document under the law of near equal bytes."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_path() -> str:
+    """Where the public tokenizer lies on this machine, and alike on the executors."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and place of every piece of every document."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity_mil, op2_chat_round_trip, op3_repetition_quality, op4_simhash_components)
+    f.__name__: f
+    for f in (
+        op1_toxicity_mil,
+        op2_chat_round_trip,
+        op3_repetition_quality,
+        op4_simhash_components,
+        op6_mix_sources,
+        op7_language_id,
+        op8_minimax_shards,
+        op9_best_fit_pack,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
