@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from braidlake.runtime import table
 
-from . import chat, langid, mixing, packing, quality, sharding, simhash, toxicity
+from . import chat, langid, lmscore, mixing, packing, quality, sharding, simhash, topk, toxicity
 from .common import fold
 
 
@@ -46,6 +46,11 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of each vector whose id is divisible by 50."""
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -75,6 +80,12 @@ def op9_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document, between documents labelled good and all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return lmscore.score(docs, lmscore.fit(docs, lmscore.target_ids(table(spark, sf_dir, "labels"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,10 +93,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_chat_round_trip,
         op3_repetition_quality,
         op4_simhash_components,
+        op5_exact_topk,
         op6_mix_sources,
         op7_language_id,
         op8_minimax_shards,
         op9_best_fit_pack,
+        op10_lm_scoring,
     )
 }
 
