@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -37,17 +38,33 @@ from .common import pieces, texts_of
 
 CAPACITY = 2048
 SALTS = 64
-#: Words that a worker remembers.
-CACHE = 300_000
+#: What ends a document: id 0.
+END = bytes(4)
+#: Words of a generation that a worker remembers; long ones count for more.
+CACHE = 500_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
+def byte_letters() -> str:
+    """The character that a byte-level pre-tokenizer shows for each byte: its own if printable, else one from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = iter(range(256, 512))
+    return "".join(chr(b) if b in shown else chr(next(rest)) for b in range(256))
+
+
 class Words(dict):
-    """Word (bytes) -> its ids as little-endian 32-bit bytes, filled as words are met."""
+    """The ids of words (bytes), as little-endian 32-bit bytes, filled as words are met.
+
+    Two generations of words are remembered: when the younger is full it becomes the older, and words of the older
+    that are met again move to the younger. Of a plain word (letters below U+0250, which no normalizer joins, and
+    then ASCII punctuation) the pre-tokenizer makes two, so its letters are looked up apart, in lower case.
+    """
 
     ODD = re.compile("[\x1c-\x1f]")
+    #: All letters below U+0250 but U+0130, whose lower case is two characters.
+    PLAIN = re.compile("([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-/:-@\\[-`{-~]*)")
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -55,29 +72,57 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.old: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+        self.size = 0
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self and len(w) <= 64]
-        if len(self) + len(new) > CACHE:
-            self.clear()
-            new = [w for w in words if len(w) <= 64]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False), strict=True):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+    def core(self, letters: bytes) -> bytes:
+        """The ids of letters in lower case, straight from the model."""
+        shown = letters.decode("latin-1")
+        ids = [t.id for t in self.model.tokenize(shown if letters.isascii() else "".join(map(self.letters.__getitem__, letters)))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, word: bytes) -> bytes:
-        return self.encode(word.decode())
+        if (ids := self.old.get(word)) is None:
+            letters = word.rstrip(b".,;:!?")
+            tail = word[len(letters) :]
+            if letters.isalpha():  # ASCII letters only
+                letters = letters.lower()
+            elif match := self.PLAIN.fullmatch(word.decode()):
+                letters, tail = match[1].lower().encode(), match[2].encode()
+            else:
+                letters = b""
+            if letters:
+                if (ids := self.parts.get(letters)) is None:
+                    ids = self.parts[letters] = self.core(letters)
+                if tail:
+                    if (end := self.parts.get(tail)) is None:
+                        end = self.parts[tail] = self.encode(tail.decode())
+                    ids += end
+            else:
+                ids = self.encode(word.decode())
+        self[word] = ids
+        self.size += 1 + len(word) // 64
+        return ids
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, and id 0 after them."""
-        split = [None if x and self.ODD.search(x) else x.encode().split() if x else [] for x in texts]
-        self.learn({w for words in split if words for w in words})
-        get = self.__getitem__
-        return [(self.encode(x) if words is None else b"".join(map(get, words))) + b"\0\0\0\0" for x, words in zip(texts, split, strict=True)]
+        out, get = [], self.__getitem__
+        for text in texts:
+            if text and self.ODD.search(text):
+                out.append(self.encode(text) + END)
+                continue
+            out.append(b"".join(map(get, text.encode().split())) + END if text else END)
+            if self.size > CACHE:
+                self.old = dict(self)
+                self.clear()
+                self.parts, self.size = {}, 0
+        return out
 
 
 _WORDS: dict[str, Words] = {}
