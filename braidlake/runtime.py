@@ -59,8 +59,13 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of an Arrow batch, so that a worker's memory doesn't grow with the size of rows.
+ARROW_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of all executors; done once per context."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     context = spark.sparkContext
     if getattr(context, "_braidlake_shipped", False):
         return
