@@ -41,7 +41,7 @@ SALTS = 64
 #: What ends a document: id 0.
 END = bytes(4)
 #: Words of a generation that a worker remembers; long ones count for more.
-CACHE = 500_000
+CACHE = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidlake.runtime import map_arrow
+from braidlake.runtime import map_arrow, materialize
 
 from .common import fold, map_pieces, pieces, texts_of
 
@@ -59,7 +59,7 @@ class Model:
 class Scorer(dict):
     """Token -> weight, filled as tokens are met; emptied when it has grown to ``LIMIT``."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __init__(self, model: Model):
         super().__init__()
@@ -89,11 +89,14 @@ class Scorer(dict):
         return min(1.0, max(0.0, -math.expm1(clean)))
 
 
-def chosen(bags: list[list[list[str]]], labels: list[int], least: float, most: int) -> dict[str, int]:
-    """Features that stand out in toxic documents, by the log-likelihood ratio of document counts."""
+def chosen(bags: list[set[int]], of: list[list[str]], labels: list[int], least: float, most: int) -> dict[str, int]:
+    """Features that stand out in toxic documents, by the log-likelihood ratio of document counts.
+
+    bags: the distinct tokens of each document. of: the features of each token.
+    """
     inside, outside = Counter(), Counter()
     for bag, label in zip(bags, labels, strict=True):
-        (inside if label else outside).update({f for s in bag for f in s})
+        (inside if label else outside).update({f for t in bag for f in of[t]})
     pos, neg = max(1, sum(labels)), max(1, len(labels) - sum(labels))
     found = []
     for f, a in inside.items():
@@ -111,30 +114,27 @@ def train(texts: list[str], labels: list[int], least: float = 13.0, most: int =
     """Fit the sentence model to labels of whole texts by gradient ascent on the noisy-or likelihood (Adam)."""
     if len(set(labels)) < 2:
         return Model()
-    seen: dict[str, list[str]] = {}
-
-    def of(token: str) -> list[str]:
-        if token not in seen:
-            seen[token] = features(token)
-        return seen[token]
-
-    bags = [[[f for t in s.split() for f in of(t)] for s in ENDS.split(x) if s.strip()] for x in texts]
-    index = chosen(bags, labels, least, most)
+    tokens: dict[str, int] = {}
+    docs = [[np.array([tokens.setdefault(t, len(tokens)) for t in s.split()], np.int32) for s in ENDS.split(x) if s.strip()] for x in texts]
+    of = [features(t) for t in tokens]
+    index = chosen([set(np.concatenate(d).tolist()) if d else set() for d in docs], of, labels, least, most)
     if not index:
         return Model()
+    telling = {t: ids for t, fs in enumerate(of) if (ids := [index[f] for f in fs if f in index])}
+    del tokens, of
     cols, rows, owner, idle = [], [], [], np.zeros(len(texts))
-    for d, bag in enumerate(bags):
+    for d, bag in enumerate(docs):
         for s in bag:
-            ids = [index[f] for f in s if f in index]
+            ids = [i for t in s.tolist() if t in telling for i in telling[t]]
             if not ids:
                 idle[d] += 1
                 continue
             cols += ids
             rows += [len(owner)] * len(ids)
             owner.append(d)
+    del docs
     cols, rows, owner = (np.array(x, dtype=np.int64) for x in (cols, rows, owner))
-    y, w, base = np.array(labels, float), np.zeros(len(index)), BASE_LOGIT
-    w += 1.0
+    y, w, base = np.array(labels, float), np.ones(len(index)), BASE_LOGIT
     # each class counts as much as the other
     share = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
@@ -170,15 +170,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_per_class: int, max_
         return []
     spark = docs.sparkSession
     few = F.broadcast(spark.createDataFrame(ids, "doc_id long, toxic int"))  # 2 * max_per_class rows at most
-    rows = (
+    found = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .where(F.length("text").between(1, max_chars))
         .join(few, "doc_id")
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-        .collect()
     )
-    return sorted((r.text, r.toxic) for r in rows)
+    # a partition at a time: the driver's JVM need not hold the whole sample
+    return sorted((r.text, r.toxic) for r in materialize(found, "labelled").toLocalIterator())
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_500, max_chars: int = 50_000) -> Model:
