@@ -70,5 +70,22 @@ def fold_of(doc_id: int | None) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS
 
 
+#: Hashes of ids are compared within this range.
+RANGE = 1 << 40
+
+
+def few_ids(ids: DataFrame, most: int) -> list[int]:
+    """At most ``most`` of a table of distinct ids (its first column), those of the smallest hashes.
+
+    A bound on the hash that twice as many are expected to meet comes first: otherwise every partition would send
+    its own ``most`` rows.
+    """
+    name = ids.columns[0]
+    total = ids.count()
+    hashed = F.pmod(F.xxhash64(name), F.lit(RANGE))
+    bound = min(RANGE, RANGE * (2 * most + 100) // max(1, total))
+    return [r[0] for r in ids.where(hashed < bound).select(name).orderBy(hashed, name).limit(most).collect()]
+
+
 def texts_of(piece: pa.RecordBatch, name: str = "text") -> list[str | None]:
     return piece.column(piece.schema.get_field_index(name)).to_pylist()

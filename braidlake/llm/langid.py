@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, map_pieces, texts_of
+from .common import RANGE, fold, map_pieces, texts_of
 
 UNKNOWN = "und"
 SEGMENT = 512
@@ -174,8 +174,8 @@ def fit(docs: DataFrame, docs_per_lang: int = 80, chars_per_lang: int = 24_000,
     if not counts:
         return Model({})
     # hashes below a language's bound are expected to give three times the documents wanted
-    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    bound = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1 << 40, (3 * docs_per_lang + 20 << 40) // r["count"]))])
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(RANGE))
+    bound = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(RANGE, (3 * docs_per_lang + 20) * RANGE // r["count"]))])
     cut = 4 * chars_per_lang // docs_per_lang
     picked = (
         marked.where(hashed < bound[F.col("lang")])

@@ -4,8 +4,8 @@ Two bigram models share one vocabulary: a target model of documents labelled goo
 documents. A document's score is its cross-entropy under the target model less that under the background model,
 per token, its end counted as a token: low scores mean text like the target's.
 
-Vocabulary: the ``VOCABULARY`` commonest words of all documents (A-Z lower-cased, at least two occurrences; ties
-by bytes); any other word is one unknown word. Counts are taken over all documents: of words and histories
+Vocabulary: the commonest words of all documents (A-Z lower-cased, at least two occurrences), as many as make up
+at most ``VOCABULARY``, words of equal count all or none; any other word is one unknown word. Counts are taken over all documents: of words and histories
 exactly, of bigrams in ``BUCKETS`` hashed cells, where a cell's count is bounded by those of its two words.
 Probabilities are (c(ab) + M p(b)) / (c(a) + M), with p(b) from word counts, half a count added for each.
 
@@ -25,13 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidlake.runtime import map_arrow
+from braidlake.runtime import map_arrow, materialize
 
-from .common import map_pieces, pieces, texts_of
+from .common import few_ids, map_pieces, pieces, texts_of
 
 VOCABULARY = 60_000
 #: Ids before those of words: a text's edge, the unknown word.
@@ -69,8 +69,14 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[bytes]:
                 yield out()
         yield out()
 
-    counted = map_arrow(docs.select(F.col("text").cast("string")), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counted.where("n >= 2").orderBy(F.desc("n"), "word").limit(size).collect()]
+    rows = map_arrow(docs.select(F.col("text").cast("string")), count, "word binary, n long")
+    counted = materialize(rows.groupBy("word").agg(F.sum("n").alias("n")).where("n >= 2"), "words")
+    # from which count on there are at most ``size`` words; one row a distinct count is ordered
+    per = counted.groupBy("n").agg(F.count("*").alias("words")).withColumn("upto", F.sum("words").over(Window.orderBy(F.desc("n"))))
+    least = per.where(F.col("upto") <= size).agg(F.min("n")).first()[0]
+    if least is None:
+        return []
+    return sorted(bytes(r.word) for r in counted.where(F.col("n") >= least).select("word").collect())
 
 
 class Ids:
@@ -173,7 +179,7 @@ class Model:
 def target_ids(labels: DataFrame, max_target: int = 20_000) -> frozenset[int]:
     """Ids of documents labelled good, at most so many."""
     good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return frozenset(r.doc_id for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_target).collect())
+    return frozenset(few_ids(materialize(good, "target"), max_target))
 
 
 def fit(docs: DataFrame, target: frozenset[int], size: int = VOCABULARY) -> Model:

@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 from braidlake.runtime import map_arrow, materialize
 
+from .common import RANGE
+
 SCALE = 256
 K = 5
 EVERY = 50
@@ -171,10 +173,17 @@ def search(table: DataFrame, is_query: Column | None = None, k: int = K, groups:
     dims = max(0, dims or 0)
     rows = materialize(prepared(table, dims), "vectors")
     total = rows.count()
-    head = rows.orderBy(F.desc("norm"), "vec_id").limit(HEAD).collect()
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec").collect()
+    groups = groups or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK)))
+    # vec_id takes part in the order, so that equal norms spread over several groups
+    candidates = materialize(blocks(rows.repartitionByRange(groups, F.desc("norm"), "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id"), BLOCK), "blocks")
+    # one number a group: how many there are is set above
+    tops = sorted(tuple(r) for r in candidates.groupBy("part").agg(F.max("top")).collect())
+    head = candidates.where((F.col("part") == (tops[0][0] if tops else -1)) & (F.col("ordinal") < max(1, HEAD // BLOCK))).collect()
+    head_ids = np.concatenate([np.frombuffer(bytes(r.ids), np.int64) for r in head]) if head else np.empty(0, np.int64)
+    head_vecs = matrix(b"".join(bytes(r.vecs) for r in head), dims) if dims else np.zeros((len(head_ids), 0))
+    hashed = F.pmod(F.xxhash64("vec_id"), F.lit(RANGE))
+    sample = rows.where(hashed < min(RANGE, RANGE * 2 * SAMPLE // max(1, total))).select("vec").limit(SAMPLE).collect()
     turn = rotation(matrix([bytes(r.vec) for r in sample], dims), dims) if dims else np.eye(0)
-    head_ids, head_vecs = np.array([r.vec_id for r in head], np.int64), matrix([bytes(r.vec) for r in head], dims) if dims else np.zeros((len(head), 0))
 
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The k-th best score that the longest vectors alone give each query."""
@@ -190,12 +199,6 @@ def search(table: DataFrame, is_query: Column | None = None, k: int = K, groups:
     asked = materialize(map_arrow(asked, floors, PREPARED + ", floor long"), "queries")
     n_asked = asked.count()
     queries = materialize(blocks(asked.repartition(max(1, -(-n_asked // QUERY_BLOCK)), F.xxhash64("vec_id")), QUERY_BLOCK), "query-blocks")
-    groups = groups or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK)))
-    # vec_id takes part in the order, so that equal norms spread over several groups
-    candidates = materialize(blocks(rows.repartitionByRange(groups, F.desc("norm"), "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id"), BLOCK), "blocks")
-    # one number a group: how many there are is set above
-    tops = sorted(tuple(r) for r in candidates.groupBy("part").agg(F.max("top")).collect())
-
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from braidlake.runtime import map_arrow, materialize
 
-from .common import fold, map_pieces, pieces, texts_of
+from .common import few_ids, fold, map_pieces, pieces, texts_of
 
 ENDS = re.compile(r"[.!?\n]+")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
@@ -161,11 +161,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_per_class: int, max_
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    ids = [
-        (r.doc_id, r.toxic)
-        for label in (0, 1)
-        for r in marks.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class).collect()
-    ]
+    marks = materialize(marks, "marks")
+    ids = [(i, label) for label in (0, 1) for i in few_ids(marks.where(F.col("toxic") == label).select("doc_id"), max_per_class)]
     if not ids:
         return []
     spark = docs.sparkSession
