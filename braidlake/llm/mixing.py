@@ -101,7 +101,7 @@ def decisions(narrow: DataFrame) -> tuple[DataFrame, int]:
     _bin up to (_last_key, _last_tie), and those of _tops.
     """
     sources = narrow.groupBy("source").agg(F.sum("_size").alias("source_size"))
-    aims = targets(sources).withColumn("epochs", F.least(F.lit(CEILING), F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0))).cast("long"))
+    aims = targets(sources).withColumn("epochs", F.least(F.lit(CEILING), F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))).cast("long"))
     aims = materialize(aims.withColumn("budget", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size"))), "aims")
     count = aims.count()
     rows = narrow.withColumn("_at", binned(F.col("_key")))

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from braidlake.operators import graph
 from braidlake.runtime import map_arrow, materialize
 
 from .common import map_pieces, texts_of
@@ -231,43 +232,6 @@ def links_of(rows: DataFrame) -> DataFrame:
     return map_arrow(rows.repartition(plain, "block").sortWithinPartitions(plain, "block"), run, "a long, b long")
 
 
-def digest(edges: DataFrame) -> tuple:
-    """The same for the same set of edges."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
-
-
-def connect(edges: DataFrame, most: int = 60) -> DataFrame:
-    """node and root (the smallest node of its component) for every node of the edges (a < b).
-
-    Alternates large and small stars until nothing changes. A hub may have any number of neighbours: only
-    minima are aggregated, and the joins that spread them can be split by adaptive execution.
-    """
-    edges, state = materialize(edges.where("a <> b").distinct(), "links"), None
-    for _ in range(most):
-        # large star: neighbours above a node take the least of its neighbourhood
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
-        # small star: neighbours below a node, and itself, take the least of those
-        below = large.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("m"))
-        small = (
-            large.select(F.col("b").alias("a"), F.col("a").alias("b"))
-            .join(below, "a")
-            .select(F.col("m").alias("a"), "b")
-            .union(below.select(F.col("m").alias("a"), F.col("a").alias("b")))
-            .where("a <> b")
-            .distinct()
-        )
-        after = materialize(small, "links")
-        state, before = digest(after), state
-        if state == before:
-            break
-        edges = after
-    else:
-        raise RuntimeError("components did not settle")
-    return after.select(F.col("b").alias("node"), F.col("a").alias("root"))
-
-
 def classes(prints: DataFrame) -> DataFrame:
     """fp, root and first for every distinct fingerprint; prints has doc_id, h and fp.
 
@@ -275,7 +239,7 @@ def classes(prints: DataFrame) -> DataFrame:
     """
     firsts = materialize(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "h")).alias("first")), "firsts")
     distinct = firsts.select("fp")
-    roots = connect(links_of(filed(distinct, hot_keys(distinct))))
+    roots = graph.components(links_of(filed(distinct, hot_keys(distinct))))
     joined = firsts.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     joined = materialize(joined, "roots")
     return joined.select("fp", "root").join(joined.groupBy("root").agg(F.min("first").alias("first")), "root")
@@ -298,8 +262,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField(x, T.LongType()) for x in ("doc_id", "h", "fp")])
     prints = materialize(map_pieces(keyed, lambda p: {"doc_id": p.column(0), "h": p.column(2), "fp": [fingerprint(x) for x in texts_of(p)]}, schema), "prints")
     kept = classes(prints).groupBy("root").agg(F.first("first").alias("k"))
-    key = ["_bl_nil", "_bl_id", "_bl_h"]
-    kept = kept.select(F.col("k.nil").alias(key[0]), F.coalesce("k.doc_id", F.lit(0)).alias(key[1]), F.col("k.h").alias(key[2]))
-    named = docs.withColumns({key[0]: F.col("doc_id").isNull(), key[1]: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), key[2]: F.xxhash64("text")})
+    key = ["nil", "id", "hash"]
+    kept = kept.select(F.col("k.nil").alias("nil"), F.coalesce("k.doc_id", F.lit(0)).alias("id"), F.col("k.h").alias("hash"))
+    # the row travels as one column, so that no name of its own can clash
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").isNull().alias("nil"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
     once = Window.partitionBy(*key).orderBy(*key)
-    return named.join(kept, key, "left_semi").withColumn("_bl_n", F.row_number().over(once)).where("_bl_n = 1").select(*docs.columns)
+    return named.join(kept, key, "left_semi").withColumn("n", F.row_number().over(once)).where("n = 1").select("row.*")
