@@ -46,7 +46,7 @@ def barcode_counts(reads: DataFrame, whitelist: DataFrame, group: str = "gem_gro
     named = counted.join(whitelist.select(barcode).distinct().withColumn("known", F.lit(True)), barcode, "left")
     whole = Window.partitionBy(group)
     bad = F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).over(whole)
-    return named.withColumns({"bad": bad, "error_rate": bad / F.sum("n").over(whole)}).where("known").drop("known")
+    return named.withColumns({"bad": bad, "error_rate": F.try_divide(bad, F.sum("n").over(whole))}).where("known").drop("known")
 
 
 def lot(counts: DataFrame, lots: DataFrame, barcode: str = "barcode", prefix: int = 7) -> DataFrame:
@@ -79,12 +79,12 @@ def bad_cycles(hist: DataFrame, least: int = 1000, low: int = 2, share: float =
 def q_share(hist: DataFrame, least: int = 30, mate: int = 1) -> DataFrame:
     """Percentage of a mate's qualities that are at least ``least``."""
     good = F.sum(F.when(F.col("q") >= least, F.col("n")).otherwise(0))
-    return hist.where(F.col("mate") == mate).agg((100 * good / F.sum("n")).alias("percent"))
+    return hist.where(F.col("mate") == mate).agg(F.try_divide(100 * good, F.sum("n")).alias("percent"))
 
 
 def valid_barcode_percent(reads: DataFrame, barcode: str = "barcode") -> DataFrame:
     """Percentage of reads that have a barcode."""
-    return reads.agg((100 * F.count_if(F.col(barcode) > 0) / F.count("*")).alias("percent"))
+    return reads.agg(F.try_divide(100 * F.count_if(F.col(barcode) > 0), F.count("*")).alias("percent"))
 
 
 def read_totals(reads: DataFrame, length: Column, k: int = 48) -> DataFrame:
@@ -97,7 +97,7 @@ def read_totals(reads: DataFrame, length: Column, k: int = 48) -> DataFrame:
 def barcode_load(reads: DataFrame, barcode: str = "barcode", big: int = 50_000) -> DataFrame:
     """N50 of reads for each barcode, and the percentage of reads in barcodes of at least ``big`` reads."""
     counted = value_counts(reads.where(F.col(barcode) > 0), barcode)
-    share = counted.agg(100 * F.sum(F.when(F.col("n") >= big, F.col("n")).otherwise(0)) / F.sum("n")).first()[0]
+    share = counted.agg(F.try_divide(100 * F.sum(F.when(F.col("n") >= big, F.col("n")).otherwise(0)), F.sum("n"))).first()[0]
     return nstats.n50(counted, "n", name="reads_n50").withColumn("big_percent", F.lit(share))
 
 
@@ -132,7 +132,7 @@ def proper_pair_percent(placements: DataFrame, most: int = 1000) -> DataFrame:
     a, b = placements.where("mate = 0").alias("a"), placements.where("mate = 1").alias("b")
     rows = b.join(a, (F.col("a.pair_id") == F.col("b.pair_id")) & (F.col("a.edge") == F.col("b.edge")), "left")
     proper = (F.col("b.stop") - F.col("a.start")).between(0, most)
-    return rows.agg((100 * F.count_if(proper) / F.count("*")).alias("percent"))
+    return rows.agg(F.try_divide(100 * F.count_if(proper), F.count("*")).alias("percent"))
 
 
 def edge_barcodes(placements: DataFrame, edge: str = "edge", reverse_edge: str = "rc_edge", barcode: str = "barcode") -> DataFrame:
@@ -191,10 +191,10 @@ def copy_numbers(spans: DataFrame, lines: DataFrame, least: int = 1000, most: in
 def coverage(spans: DataFrame, lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Raw coverage of each line (bases of spans over length) and coverage over the mean of all lines."""
     sums = spans.groupBy(*by, "line").agg(F.sum(F.col("stop") - F.col("start")).alias("bases"))
-    raw = lines.join(sums, "line", "left").withColumn("raw", F.coalesce("bases", F.lit(0)) / F.col("length"))
-    mean = raw.groupBy(*by).agg((F.sum(F.coalesce("bases", F.lit(0))) / F.sum("length")).alias("mean"))
+    raw = lines.join(sums, "line", "left").withColumn("raw", F.try_divide(F.coalesce("bases", F.lit(0)), F.col("length")))
+    mean = raw.groupBy(*by).agg(F.try_divide(F.sum(F.coalesce("bases", F.lit(0))), F.sum("length")).alias("mean"))
     joined = raw.join(mean, list(by)) if by else raw.withColumn("mean", F.lit(mean.first()[0]))
-    return joined.withColumn("normalised", F.col("raw") / F.col("mean")).select(*by, "line", "raw", "normalised")
+    return joined.withColumn("normalised", F.try_divide("raw", "mean")).select(*by, "line", "raw", "normalised")
 
 
 def assembly_report(lengths: DataFrame, least: int = 0) -> DataFrame:
@@ -229,7 +229,7 @@ def split_statistics(reads: DataFrame, barcode: str = "barcode", possible: int =
         F.count_if(F.col(barcode) != "0_0_0").alias("types"),
         (100.0 * F.count_if(F.col(barcode) != "0_0_0") / possible).alias("types_percent"),
         F.sum("n").alias("pairs"),
-        (100.0 * F.sum(F.when(F.col(barcode) != "0_0_0", F.col("n")).otherwise(0)) / F.sum("n")).alias("split_percent"),
+        F.try_divide(100.0 * F.sum(F.when(F.col(barcode) != "0_0_0", F.col("n")).otherwise(0)), F.sum("n")).alias("split_percent"),
     )
 
 

@@ -51,7 +51,7 @@ def group_sizes(rows: DataFrame, key: Sequence[str] = ALIGNMENT_KEY) -> DataFram
 
 def duplicate_rate(sizes: DataFrame) -> DataFrame:
     """Share of rows that are duplicates, from a histogram of group sizes."""
-    return sizes.agg((F.sum((F.col("size") - 1) * F.col("groups")) / F.sum(F.col("size") * F.col("groups"))).alias("rate"))
+    return sizes.agg(F.try_divide(F.sum((F.col("size") - 1) * F.col("groups")), F.sum(F.col("size") * F.col("groups"))).alias("rate"))
 
 
 def summary(rows: DataFrame, key: Sequence[str] = ALIGNMENT_KEY, perfect: Column | None = None, rates: Sequence[float] = (1.0,)) -> DataFrame:

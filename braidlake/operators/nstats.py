@@ -62,7 +62,7 @@ def n_linear(df: DataFrame, value: str, fraction: float = 0.5, by: Sequence[str]
 
 def weighted_mean(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "weighted_mean") -> DataFrame:
     """Mean of the values, each weighted by itself."""
-    return df.groupBy(*by).agg((F.sum(F.col(value) * F.col(value)) / F.sum(value)).alias(name))
+    return df.groupBy(*by).agg(F.try_divide(F.sum(F.col(value) * F.col(value)), F.sum(value)).alias(name))
 
 
 def binned_weighted_mean(df: DataFrame, value: str, width: int, by: Sequence[str] = (), name: str = "weighted_mean") -> DataFrame:
