@@ -89,16 +89,26 @@ class Scorer(dict):
         return min(1.0, max(0.0, -math.expm1(clean)))
 
 
-def chosen(bags: list[set[int]], of: list[list[str]], labels: list[int], least: float, most: int) -> dict[str, int]:
+def chosen(docs: list[list[np.ndarray]], tokens: list[str], labels: list[int], least: float, most: int) -> dict[str, int]:
     """Features that stand out in toxic documents, by the log-likelihood ratio of document counts.
 
-    bags: the distinct tokens of each document. of: the features of each token.
+    docs: the token numbers of each document's sentences. Features are counted by hash, in flat arrays; only those
+    chosen are kept as strings.
     """
-    inside, outside = Counter(), Counter()
-    for bag, label in zip(bags, labels, strict=True):
-        (inside if label else outside).update({f for t in bag for f in of[t]})
+    flat, stops = [], np.zeros(len(tokens) + 1, np.int64)
+    for t, token in enumerate(tokens):
+        flat += map(hash, features(token))
+        stops[t + 1] = len(flat)
+    hashes = np.array(flat, np.int64)
+    del flat
+    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+    for doc, label in zip(docs, labels, strict=True):
+        own = np.unique(np.concatenate(doc)) if doc else np.empty(0, np.int64)
+        if len(own):
+            counts[label].update(set(np.concatenate([hashes[stops[t] : stops[t + 1]] for t in own]).tolist()))
+    inside, outside = counts[1], counts[0]
     pos, neg = max(1, sum(labels)), max(1, len(labels) - sum(labels))
-    found = []
+    found: dict[int, float] = {}
     for f, a in inside.items():
         b = outside.get(f, 0)
         if a < 3 or a / pos < 3 * b / neg:
@@ -106,8 +116,10 @@ def chosen(bags: list[set[int]], of: list[list[str]], labels: list[int], least:
         p = (a + b) / (pos + neg)
         ratio = a * math.log(a / (pos * p)) + (b * math.log(b / (neg * p)) if b else 0.0)
         if 2 * ratio >= least:
-            found.append((-ratio, f))
-    return {f: i for i, (_, f) in enumerate(sorted(found)[:most])}
+            found[f] = -ratio
+    del counts, inside, outside
+    named = {f: found[h] for token in tokens for f in features(token) if (h := hash(f)) in found}
+    return {f: i for i, f in enumerate(sorted(named, key=lambda f: (named[f], f))[:most])}
 
 
 def train(texts: list[str], labels: list[int], least: float = 13.0, most: int = 20_000, rounds: int = 400) -> Model:
@@ -116,12 +128,11 @@ def train(texts: list[str], labels: list[int], least: float = 13.0, most: int =
         return Model()
     tokens: dict[str, int] = {}
     docs = [[np.array([tokens.setdefault(t, len(tokens)) for t in s.split()], np.int32) for s in ENDS.split(x) if s.strip()] for x in texts]
-    of = [features(t) for t in tokens]
-    index = chosen([set(np.concatenate(d).tolist()) if d else set() for d in docs], of, labels, least, most)
+    index = chosen(docs, list(tokens), labels, least, most)
     if not index:
         return Model()
-    telling = {t: ids for t, fs in enumerate(of) if (ids := [index[f] for f in fs if f in index])}
-    del tokens, of
+    telling = {t: ids for token, t in tokens.items() if (ids := [index[f] for f in features(token) if f in index])}
+    del tokens
     cols, rows, owner, idle = [], [], [], np.zeros(len(texts))
     for d, bag in enumerate(docs):
         for s in bag:
@@ -178,7 +189,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_per_class: int, max_
     return sorted((r.text, r.toxic) for r in materialize(found, "labelled").toLocalIterator())
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_500, max_chars: int = 50_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_000, max_chars: int = 50_000) -> Model:
     """Learn from labelled documents whose crc32(doc_id as text) mod 5 is not 0."""
     sample = labelled_sample(docs, labels, max_per_class, max_chars)
     return train([x for x, _ in sample], [y for _, y in sample])
