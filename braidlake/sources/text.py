@@ -5,24 +5,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from braidlake.functions import numeric as N
 from braidlake.functions import sequence as S
 from braidlake.runtime import map_arrow
 
-RECORDS = "path string, block_start long, ordinal long, name string, seq string, qual string, boundary long, head boolean, lines array<string>"
+RECORDS = "path string, block_start long, ordinal long, name string, seq string, qual string, tail boolean, lines array<string>"
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Four-line records of each file block; what a block's edge cuts off is passed on as lines, with the edge.
+    """Four-line records of each file block; what a block's edges cut off is passed on as lines.
 
     In a block that doesn't begin a file, the first header is the first line with '@' two lines before one with
-    '+': a quality line may begin with '@', but a sequence never begins with '+'.
+    '+': a quality line may begin with '@', but a sequence never begins with '+'. The lines before it end a record
+    of an earlier block; those after the last whole record (the tail) begin one that a later block ends.
     """
     names = [f.split()[0] for f in RECORDS.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.list_(pa.string())]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string())]
     key, held, ordinal, phased = None, [], 0, False
     out: list[tuple] = []
 
@@ -31,29 +32,24 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out.clear()
         return batch
 
-    def close() -> None:
-        if key is not None and held:
-            path, start, length = key
-            if not phased:  # no header at all: the block lies within one record
-                out.append((path, start, None, None, None, None, start, True, list(held)))
-            else:
-                out.append((path, start, None, None, None, None, start + length, False, list(held)))
+    def cut_off(lines: list[str], tail: bool) -> None:
+        if lines:
+            out.append((*key, None, None, None, None, tail, list(lines)))
 
     for batch in batches:
-        for path, start, length, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (path, start, length) != key:
-                close()
-                key, held, ordinal, phased = (path, start, length), [], 0, start == 0
+        for path, start, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (path, start) != key:
+                cut_off(held, phased)
+                key, held, ordinal, phased = (path, start), [], 0, start == 0
             held.append(value.rstrip("\r"))
             if not phased and len(held) >= 3 and held[-3].startswith("@") and held[-1].startswith("+"):
-                if held[:-3]:
-                    out.append((path, start, None, None, None, None, start, True, held[:-3]))
+                cut_off(held[:-3], False)
                 held, phased = held[-3:], True
             if phased and len(held) == 4:
-                out.append((path, start, ordinal, held[0][1:], held[1], held[3], None, None, None))
+                out.append((path, start, ordinal, held[0][1:], held[1], held[3], None, None))
                 held, ordinal = [], ordinal + 1
         yield flush()
-    close()
+    cut_off(held, phased)
     yield flush()
 
 
@@ -61,19 +57,19 @@ def fastq(spark: SparkSession, *paths: str) -> DataFrame:
     """path, block_start, ordinal, name, seq, qual of FASTQ files, compressed or not.
 
     Records are in the order (path, block_start, ordinal). Compressed files are one block each. A record cut by
-    blocks is put together again from its lines.
+    blocks is put together from its lines: a tail and the lines of blocks up to the next tail.
     """
-    scanned = spark.read.text(list(paths)).select("_metadata.file_path", F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_block_length").alias("length"), "value")
+    scanned = spark.read.text(list(paths)).select("_metadata.file_path", F.col("_metadata.file_block_start").alias("start"), "value")
     rows = map_arrow(scanned, _records, RECORDS)
-    whole = rows.where("boundary is null").select("path", "block_start", "ordinal", "name", "seq", "qual")
-    # the end of one block and the beginning of the next share the place where they meet
-    parts = rows.where("boundary is not null").groupBy("path", "boundary").agg(
-        F.min(F.when(~F.col("head"), F.col("block_start"))).alias("block_start"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("head", "lines"))), lambda x: x["lines"])).alias("l")
-    )
-    cut = parts.where(F.size("l") >= 4).select(
-        "path", F.coalesce("block_start", "boundary").alias("block_start"), F.lit(1 << 40).cast("long").alias("ordinal"), F.substr(F.element_at("l", 1), F.lit(2)).alias("name"),
-        F.element_at("l", 2).alias("seq"), F.element_at("l", 4).alias("qual"),
-    )
+    whole = rows.where("tail is null").drop("tail", "lines")
+    # at most two rows a block
+    order = Window.partitionBy("path").orderBy("block_start", "tail")
+    parts = rows.where("tail is not null").withColumn("run", F.sum(F.col("tail").cast("int")).over(order))
+    lines = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block_start", "tail", "lines"))), lambda x: x["lines"]))
+    joined = parts.groupBy("path", "run").agg(F.min("block_start").alias("block_start"), lines.alias("l"))
+    each = joined.where(F.size("l") >= 4).select("path", "block_start", "l", F.explode(F.sequence(F.lit(0), F.floor(F.size("l") / 4) - 1)).alias("i"))
+    at = lambda k: F.element_at("l", (4 * F.col("i") + k).cast("int"))
+    cut = each.select("path", "block_start", ((1 << 40) + F.col("i")).alias("ordinal"), F.substr(at(1), F.lit(2)).alias("name"), at(2).alias("seq"), at(4).alias("qual"))
     return whole.unionByName(cut)
 
 
