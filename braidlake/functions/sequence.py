@@ -51,10 +51,11 @@ def canonical(kmer: Column | str, order: str = ASSEMBLY_ORDER) -> Column:
 
 
 def kmers(seq: Column | str, k: int) -> Column:
-    """All windows of k characters, in order."""
-    s = col(seq)
-    windows = F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.substring(s, i, F.lit(k)))
-    return F.when(F.length(s) >= k, windows).otherwise(F.array().cast("array<string>"))
+    """All windows of k characters, in order.
+
+    A lookahead finds them in one pass; taking substrings by position would read each string from its start anew.
+    """
+    return F.regexp_extract_all(col(seq), F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
 
 
 def pack(kmer: Column | str, order: str = GAP_ORDER) -> Column:
@@ -152,6 +153,25 @@ def neighbours(word: Column | str, alphabet: str = "ACGT") -> Column:
     return F.when(F.length(w) > 0, made).otherwise(F.array().cast("array<string>"))
 
 
+def second_neighbours(word: Column | str, alphabet: str = "ACGT") -> Column:
+    """All strings that differ from a word in exactly two positions, each once: one change and another behind it."""
+    w = col(word)
+    letters = F.array(*[F.lit(c) for c in alphabet])
+    rest = lambda i: F.substr(w, i + 1)
+    made = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), F.length(w) - 1),
+            lambda i: F.flatten(
+                F.transform(
+                    F.filter(letters, lambda c: c != F.substring(w, i, F.lit(1))),
+                    lambda c: F.transform(neighbours(rest(i), alphabet), lambda t: F.concat(F.substring(w, F.lit(1), i - 1), c, t)),
+                )
+            ),
+        )
+    )
+    return F.when(F.length(w) > 1, made).otherwise(F.array().cast("array<string>"))
+
+
 def wrap(seq: Column | str, width: int) -> Column:
     """A sequence in lines of at most ``width`` characters."""
     return F.regexp_replace(col(seq), f"(.{{{width}}})(?=.)", "$1\n")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from braidlake.functions.numeric import error_probability
-from braidlake.functions.sequence import neighbours
+from braidlake.functions.sequence import neighbours, second_neighbours
 
 #: Below this many rows a side is broadcast; it is counted first.
 SMALL_SIDE = 200_000
@@ -76,8 +76,8 @@ def correct_barcodes(reads: DataFrame, counts: DataFrame, confidence: float = 0.
     hard = known.where(~F.coalesce(passed, F.lit(False)))
     # one mismatch for those off the list
     off = hard.where("prior is null").select("read_id", "raw", "quals", F.explode(neighbours("raw")).alias("candidate"), F.lit(33).alias("most"), F.lit(0).alias("less"))
-    # two mismatches for those on it: neighbours of neighbours that differ from the barcode in two places
-    twice = F.filter(F.array_distinct(F.flatten(F.transform(neighbours("raw"), lambda w: neighbours(w)))), lambda w: differing(w, F.col("raw")) == 2)
+    # two mismatches for those on it
+    twice = second_neighbours("raw")
     on = hard.where("prior is not null").select("read_id", "raw", "quals", F.explode(twice).alias("candidate"), F.lit(33).alias("most"), F.lit(1).alias("less"))
     rated = off.unionByName(on).join(prior, "candidate")
     at = F.sequence(F.lit(1), F.length("raw"))
@@ -92,10 +92,6 @@ def correct_barcodes(reads: DataFrame, counts: DataFrame, confidence: float = 0.
     return easy.unionByName(hard.select("read_id").join(sure, "read_id", "left"))
 
 
-def differing(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, x: s + x)
-
-
 def interval_join(left: DataFrame, right: DataFrame, width: int, by: Sequence[str] = ()) -> DataFrame:
     """Pairs of overlapping half-open intervals; both sides have start and stop, which become l_* and r_*.
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from braidlake.runtime import map_arrow
 
 
 def sessions(rows: DataFrame, by: Sequence[str], at: Column, most: int | float, tie: str | None = None, name: str = "session") -> DataFrame:
@@ -75,20 +80,21 @@ def runs(flags: DataFrame, by: Sequence[str], at: str, flag: Column) -> DataFram
 def character_runs(rows: DataFrame, by: Sequence[str], seq: str, chars: str = "Nn", least: int = 1) -> DataFrame:
     """start and stop (half open) of the maximal runs of these characters that are at least so long.
 
-    A sequence is cut into alternating runs, whose lengths are summed up in order.
+    Sequences are scanned in Arrow batches, in one pass each: a fold that collects runs would copy them again for
+    every run.
     """
-    parts = F.regexp_extract_all(F.col(seq), F.lit(f"[{chars}]+|[^{chars}]+"), F.lit(0))
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("found"))
-    hit = lambda p: p.rlike(f"^[{chars}]") & (F.length(p) >= least)
-    folded = F.aggregate(
-        parts,
-        state,
-        lambda s, p: F.struct(
-            (s["at"] + F.length(p)).alias("at"),
-            F.when(hit(p), F.concat(s["found"], F.array(F.struct(s["at"].alias("start"), (s["at"] + F.length(p)).alias("stop"))))).otherwise(s["found"]).alias("found"),
-        ),
-    )
-    return rows.select(*by, F.explode(folded["found"]).alias("run")).select(*by, F.col("run.start").cast("long").alias("start"), F.col("run.stop").cast("long").alias("stop"))
+    pattern = re.compile(f"[{re.escape(chars)}]{{{least},}}")
+    kept = rows.where(F.col(seq).isNotNull()).select(*by, seq)
+    schema = T.StructType([*(f for f in kept.schema if f.name in by), T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[m.span() for m in pattern.finditer(text)] for text in batch.column(len(by)).to_pylist()]
+            owner = pa.array([i for i, spans in enumerate(found) for _ in spans], pa.int64())
+            bounds = [pa.array([s[k] for spans in found for s in spans], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(owner) for i in range(len(by))), *bounds], names=schema.names)
+
+    return map_arrow(kept, run, schema)
 
 
 def called_coordinate(gaps: DataFrame, points: DataFrame, pos: str = "pos", by: Sequence[str] = ("scaffold_id",)) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from braidlake.runtime import table
+from braidlake.runtime import spread, table
 
 ALPHABET, BASES = "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC"
 
@@ -16,7 +16,7 @@ READS_SQL = f"""reads AS (SELECT doc_id AS read_id, CAST(substr(source, 4) AS BI
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """read_id, barcode, seq: letters of documents as bases, anything else as N."""
     seq = F.regexp_replace(F.translate(F.lower("text"), ALPHABET, BASES), "[^ACGT]", "N")
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("read_id"), F.expr("cast(substr(source, 4) as bigint)").alias("barcode"), seq.alias("seq"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(F.col("doc_id").alias("read_id"), F.expr("cast(substr(source, 4) as bigint)").alias("barcode"), seq.alias("seq"))
 
 
 ITEMS_SQL = f"""items AS (SELECT item_id AS read_id, item_id % 7 AS barcode,

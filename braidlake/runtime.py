@@ -82,3 +82,12 @@ def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows in at least as many partitions as there are cores: a small file is one task otherwise.
+
+    For inputs whose rows grow into many; a large input has more partitions than that and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
