@@ -479,7 +479,8 @@ def zipped_streams(spark, sf_dir):
 
 
 @query(
-    f"""WITH {I.READS_SQL}, k AS (SELECT barcode, unnest(list_transform(range(1, length(seq) - 10), lambda i: substr(translate(seq, 'N', 'A'), i, 12))) AS k FROM reads WHERE length(seq) >= 13),
+    f"""WITH {I.READS_SQL}, called AS (SELECT barcode, translate(seq, 'N', 'A') AS s FROM reads WHERE length(seq) >= 13),
+    k AS (SELECT barcode, unnest(list_transform(range(1, length(s) - 10), lambda i: substr(s, i, 12))) AS k FROM called),
     c AS (SELECT barcode, least(k, reverse(translate(k, 'ACGT', 'TGCA'))) AS kmer FROM k) SELECT kmer, count(*) AS n, count(DISTINCT CASE WHEN barcode > 0 THEN barcode END) AS barcodes FROM c GROUP BY 1
     HAVING count(*) >= 3 AND count(DISTINCT CASE WHEN barcode > 0 THEN barcode END) >= 2"""
 )
