@@ -10,9 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from braidlake.functions import ambiguous
 from braidlake.functions import numeric as N
 from braidlake.functions import sequence as S
-from braidlake.operators import aggregates, dedup, graph, intervals, joins, kmers, nstats, sets, sorting, windows
+from braidlake.operators import aggregates, alignment, dedup, graph, intervals, joins, kmers, nstats, sets, sorting, windows
+from braidlake.operators import lines as lines_
 from braidlake.runtime import table
 from braidlake.streaming import events as streams
 
@@ -940,3 +942,80 @@ def events_sliding(spark, sf_dir):
 )
 def events_sessions(spark, sf_dir):
     return streams.sessions(table(spark, sf_dir, "events"), "12 hours")
+
+
+# Columns, placements, libraries, alignments
+
+
+COLUMNS_SQL = "columns_ AS (SELECT l_suppkey % 7 AS rname, l_partkey % 500 AS pos, substr('ACGT', CAST(l_linenumber % 4 + 1 AS INT), 1) AS base, CAST(l_quantity AS INT) AS quality FROM lineitem)"
+
+
+@query(
+    f"""WITH {COLUMNS_SQL}, p AS (SELECT rname, pos, base, count(*) AS n, sum(quality) AS w FROM columns_ GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY rname, pos ORDER BY w DESC, base) AS k,
+    sum(n) OVER (PARTITION BY rname, pos) AS depth, sum(w) OVER (PARTITION BY rname, pos) AS total FROM p)
+    SELECT rname, pos, CASE WHEN w >= 0.4 * total THEN base ELSE 'N' END AS base, CAST(depth AS BIGINT) AS depth, CAST(w AS BIGINT) AS weight FROM r WHERE k = 1"""
+)
+def column_consensus(spark, sf_dir):
+    base = F.expr("substr('ACGT', l_linenumber % 4 + 1, 1)")
+    rows = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 7).alias("rname"), (F.col("l_partkey") % 500).alias("pos"), base.alias("base"), F.col("l_quantity").cast("int").alias("quality"))
+    return alignment.consensus(rows, 0.4)
+
+
+@query(
+    """WITH m AS (SELECT l_suppkey % 9 AS a, l_partkey % 9 AS b, 1 + l_linenumber % 2 AS library, CAST(l_quantity AS BIGINT) AS distance FROM lineitem), l AS (SELECT * FROM (VALUES (1, 500.0, 50.0), (2, 2000.0, 200.0)) AS v(library, separation, sd))
+    SELECT a, b, round(sum((separation - distance) / (sd * sd)) / sum(1 / (sd * sd)), 6) AS gap, round(sqrt(1 / sum(1 / (sd * sd))), 6) AS sd, count(*) AS pairs FROM m JOIN l USING (library) GROUP BY 1, 2"""
+)
+def library_gaps(spark, sf_dir):
+    mates = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 9).alias("a"), (F.col("l_partkey") % 9).alias("b"), (1 + F.col("l_linenumber") % 2).alias("library"), F.col("l_quantity").cast("long").alias("distance"))
+    known = spark.createDataFrame([(1, 500.0, 50.0), (2, 2000.0, 200.0)], "library int, separation double, sd double")
+    return lines_.separations(mates, known).withColumns({"gap": F.round("gap", 6), "sd": F.round("sd", 6)})
+
+
+@query(
+    """WITH r AS (SELECT l_orderkey AS read_id, l_linenumber AS node, l_partkey % 300 AS c, l_orderkey % 2 = 1 AS rev, lead(l_partkey % 300) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS nx FROM lineitem)
+    SELECT CASE WHEN rev THEN nx ELSE c END AS a, CASE WHEN rev THEN c ELSE nx END AS b, count(DISTINCT read_id) AS support FROM r WHERE nx IS NOT NULL GROUP BY 1, 2"""
+)
+def long_read_links(spark, sf_dir):
+    # lines of one number are told apart by their part, so that the order is total
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("read_id"), (F.col("l_linenumber") * 100_000_000 + F.col("l_partkey")).alias("node"), (F.col("l_partkey") % 300).alias("contig_id"), (F.col("l_orderkey") % 2 == 1).alias("reverse"))
+    return lines_.read_links(rows)
+
+
+@query(
+    """WITH h AS (SELECT l_orderkey AS read_id, l_suppkey % 20 AS line, l_partkey AS pos, l_linenumber AS kmers, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_suppkey % 20, l_partkey) AS r FROM lineitem)
+    SELECT read_id, line, pos, kmers, false AS at_home FROM h WHERE r = 1"""
+)
+def read_placements(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("read_id"), F.lit(1).alias("barcode"), (F.col("l_suppkey") % 20).alias("line"), F.col("l_partkey").alias("pos"), F.col("l_linenumber").alias("kmers"))
+    return lines_.placements(rows)
+
+
+@query(
+    """WITH edges AS (SELECT p_partkey AS edge, p_partkey + 1000000 AS a, p_partkey // 2 AS b, p_size * 10 AS length FROM part), s AS (SELECT CAST(p_partkey AS BIGINT) AS edge, p_size % 5 AS reads, CAST(floor(p_retailprice) AS BIGINT) % 100 AS quality FROM part), r AS (SELECT * FROM edges JOIN s USING (edge)),
+    o AS (SELECT b, max(quality) AS best FROM r GROUP BY 1 HAVING count(*) = 2) SELECT edge FROM r JOIN o USING (b) WHERE a NOT IN (SELECT b FROM edges) AND length <= 300 AND reads <= 2 AND best >= 1.1 * greatest(1, quality)"""
+)
+def weak_tips(spark, sf_dir):
+    support = table(spark, sf_dir, "part").selectExpr("p_partkey AS edge", "p_size % 5 AS reads", "cast(floor(p_retailprice) AS bigint) % 100 AS quality")
+    edges = table(spark, sf_dir, "part").selectExpr("p_partkey AS edge", "p_partkey + 1000000 AS a", "p_partkey div 2 AS b", "p_size * 10 AS length")
+    return lines_.weak_tips(edges, support, ratio=1.1)
+
+
+@query("""SELECT p_partkey, 'A' || p_brand || 'C' AS first, length(p_name) AS least FROM part""")
+def ambiguous_sequences(spark, sf_dir):
+    text = F.concat(F.lit("{A,TT}"), "p_brand", F.lit("{C,}"))
+    sizes = ambiguous.lengths(F.concat("p_name", F.lit("{AC,}")))
+    return table(spark, sf_dir, "part").select("p_partkey", ambiguous.first_version(text).alias("first"), sizes["least"].cast("long").alias("least"))
+
+
+@query()
+def local_alignments(spark, sf_dir):
+    """Neighbouring items aligned locally; tested against a plain table of scores."""
+    rows = I.items(spark, sf_dir).select("read_id", F.substring("seq", 1, 100).alias("query"))
+    after = rows.select((F.col("read_id") - 1).alias("read_id"), F.col("query").alias("target"))
+    return alignment.aligned(rows.join(after, "read_id"))
+
+
+@query()
+def graph_lines(spark, sf_dir):
+    """Lines of the graph of parts; tested on small graphs."""
+    return lines_.lines(I.edges(spark, sf_dir))
