@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import graph
+from . import graph, windows
 
 
 def lines(edges: DataFrame, most_paths: int = 10, most_depth: int = 6) -> DataFrame:
@@ -129,6 +129,57 @@ def placements(hits: DataFrame, territory: DataFrame | None = None) -> DataFrame
     return best.select("read_id", "b.line", "b.pos", (-F.col("b.k")).alias("kmers"), (F.col("b.h") < 0).alias("at_home"))
 
 
+#: How a neighbour may lie beside a line: before or after it, and which way round.
+HYPOTHESES = (("after", False), ("after", True), ("before", False), ("before", True))
+
+
+def orientations(positions: DataFrame, sizes: DataFrame, pairs: DataFrame, advantage: float = 5.0) -> DataFrame:
+    """line, neighbour, side, reversed, score, margin: how each neighbour fits beside its line best.
+
+    positions: line, barcode, pos. sizes: line, length. pairs: line, neighbour. Each of the four ways is scored by
+    the steps that barcodes take across the seam (windows.order_score; low is good); the best must lead the second
+    by ``advantage``.
+    """
+    ways = F.array(*[F.struct(F.lit(side).alias("side"), F.lit(turned).alias("reversed")) for side, turned in HYPOTHESES])
+    asked = pairs.withColumn("way", F.explode(ways))
+    named = asked.join(sizes.select("line", F.col("length").alias("own")), "line").join(sizes.select(F.col("line").alias("neighbour"), F.col("length").alias("other")), "neighbour")
+    ordering = F.struct("line", "neighbour", F.col("way.side").alias("side"), F.col("way.reversed").alias("reversed")).alias("ordering")
+    after = F.col("way.side") == "after"
+    mine = named.join(positions, "line").select(ordering, "barcode", F.when(after, F.col("pos")).otherwise(F.col("other") + F.col("pos")).alias("pos"), F.when(after, 0).otherwise(1).alias("line_index"))
+    turned = F.when(F.col("way.reversed"), F.col("other") - F.col("pos") - 1).otherwise(F.col("pos"))
+    theirs = named.join(positions.withColumnRenamed("line", "neighbour"), "neighbour").select(
+        ordering, "barcode", F.when(after, F.col("own") + turned).otherwise(turned).alias("pos"), F.when(after, 1).otherwise(0).alias("line_index")
+    )
+    scored = windows.order_score(mine.unionByName(theirs)).select("ordering.*", "score")
+    place = Window.partitionBy("line", "neighbour").orderBy("score", "side", "reversed")
+    ranked = scored.withColumns({"r": F.row_number().over(place), "margin": F.lead("score").over(place) - F.col("score")})
+    return ranked.where((F.col("r") == 1) & (F.col("margin") >= advantage)).drop("r")
+
+
+def star_candidates(neighbours: DataFrame, facts: DataFrame, least: int = 2000, long: int = 5000, copies: float = 0.5, most: int = 10) -> DataFrame:
+    """line, neighbour: up to ``most`` neighbours of each long line, of like copy number and not too short.
+
+    neighbours: owner, neighbour, common. facts: line, length, copies.
+    """
+    own = facts.where(F.col("length") >= long).select(F.col("line").alias("owner"), F.col("copies").alias("c1"))
+    other = facts.where(F.col("length") >= least).select(F.col("line").alias("neighbour"), F.col("copies").alias("c2"))
+    rows = neighbours.join(own, "owner").join(other, "neighbour").where(F.abs(F.col("c1") - F.col("c2")) <= copies)
+    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("owner").orderBy(F.desc("common"), "neighbour")))
+    return ranked.where(F.col("r") <= most).select(F.col("owner").alias("line"), "neighbour")
+
+
+def next_lines(oriented: DataFrame, facts: DataFrame, most: int = 6) -> DataFrame:
+    """line, neighbour, reversed: of the ``most`` longest neighbours after each line, the one that fits best.
+
+    oriented: as ``orientations`` gives it. facts: line, length.
+    """
+    sizes = facts.select(F.col("line").alias("neighbour"), "length")
+    longest = Window.partitionBy("line").orderBy(F.desc("length"), "neighbour")
+    kept = oriented.where("side = 'after'").join(sizes, "neighbour").withColumn("r", F.row_number().over(longest)).where(F.col("r") <= most)
+    best = kept.groupBy("line").agg(F.min(F.struct("score", "neighbour", "reversed")).alias("b"))
+    return best.select("line", "b.neighbour", "b.reversed")
+
+
 def weak_tips(edges: DataFrame, support: DataFrame, most: int = 300, least_reads: int = 2, ratio: float = 5.0) -> DataFrame:
     """Tips to mow: of two edges into one node, the shorter dead end with few reads of low quality.
 

@@ -991,11 +991,11 @@ def read_placements(spark, sf_dir):
 
 
 @query(
-    """WITH edges AS (SELECT p_partkey AS edge, p_partkey + 1000000 AS a, p_partkey // 2 AS b, p_size * 10 AS length FROM part), s AS (SELECT CAST(p_partkey AS BIGINT) AS edge, p_size % 5 AS reads, CAST(floor(p_retailprice) AS BIGINT) % 100 AS quality FROM part), r AS (SELECT * FROM edges JOIN s USING (edge)),
+    """WITH edges AS (SELECT p_partkey AS edge, p_partkey + 1000000 AS a, p_partkey // 2 AS b, p_size * 10 AS length FROM part), s AS (SELECT CAST(p_partkey AS BIGINT) AS edge, p_size % 5 AS reads, p_partkey * 37 % 100 AS quality FROM part), r AS (SELECT * FROM edges JOIN s USING (edge)),
     o AS (SELECT b, max(quality) AS best FROM r GROUP BY 1 HAVING count(*) = 2) SELECT edge FROM r JOIN o USING (b) WHERE a NOT IN (SELECT b FROM edges) AND length <= 300 AND reads <= 2 AND best >= 1.1 * greatest(1, quality)"""
 )
 def weak_tips(spark, sf_dir):
-    support = table(spark, sf_dir, "part").selectExpr("p_partkey AS edge", "p_size % 5 AS reads", "cast(floor(p_retailprice) AS bigint) % 100 AS quality")
+    support = table(spark, sf_dir, "part").selectExpr("p_partkey AS edge", "p_size % 5 AS reads", "p_partkey * 37 % 100 AS quality")
     edges = table(spark, sf_dir, "part").selectExpr("p_partkey AS edge", "p_partkey + 1000000 AS a", "p_partkey div 2 AS b", "p_size * 10 AS length")
     return lines_.weak_tips(edges, support, ratio=1.1)
 

@@ -101,3 +101,10 @@ def metrics_json(metrics: DataFrame, described: bool = False) -> DataFrame:
 def write_text(values: DataFrame, path: str, compressed: bool = True) -> None:
     """Write a value column as text; records keep their own line breaks."""
     values.select("value").write.mode("errorifexists").option("compression", "gzip" if compressed else "none").text(path)
+
+
+def vcf_text(variants: DataFrame) -> DataFrame:
+    """value: VCF lines of variants with the columns of ``text.vcf``, without their header."""
+    or_dot = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
+    info = F.when(F.size("info") > 0, F.concat_ws(";", F.array_sort(F.transform(F.map_entries("info"), lambda e: F.when(e["value"].isNull(), e["key"]).otherwise(F.concat(e["key"], F.lit("="), e["value"])))))).otherwise(".")
+    return variants.select(F.concat_ws("\t", F.col("chrom"), (F.col("pos") + 1).cast("string"), or_dot("id"), "ref", F.concat_ws(",", "alt"), or_dot("qual"), or_dot("filter"), info).alias("value"))

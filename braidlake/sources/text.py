@@ -113,7 +113,7 @@ PAF = ("q string", "qlen int", "qs int", "qe int", "strand string", "t string",
 def paf(spark: SparkSession, *paths: str) -> DataFrame:
     """The twelve columns of pairwise alignments and the first tag."""
     parts = F.split(F.trim("value"), "\\s+")
-    return spark.read.text(list(paths)).where("length(trim(value)) > 0").select(*[F.get(parts, i).cast(kind).alias(name) for i, (name, kind) in enumerate(x.split() for x in PAF)])
+    return spark.read.text(list(paths)).where("length(trim(value)) > 0").select(*[F.get(parts, i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(x.split() for x in PAF)])
 
 
 def sam(spark: SparkSession, *paths: str) -> DataFrame:
@@ -121,7 +121,7 @@ def sam(spark: SparkSession, *paths: str) -> DataFrame:
     parts = F.split("value", "\t")
     names = ("qname string", "flag int", "rname string", "pos1 int", "mapq int", "cigar string", "rnext string", "pnext1 int", "tlen int", "seq string", "qual string")
     rows = spark.read.text(list(paths)).where("value <> '' and not startswith(value, '@')").select(
-        *[F.get(parts, i).cast(kind).alias(name) for i, (name, kind) in enumerate(x.split() for x in names)], F.slice(parts, 12, 10_000).alias("tags")
+        *[F.get(parts, i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(x.split() for x in names)], F.slice(parts, 12, 10_000).alias("tags")
     )
     return with_flags(rows.withColumns({"pos": F.col("pos1") - 1, "mate_pos": F.col("pnext1") - 1, "mate_rname": F.when(F.col("rnext") == "=", F.col("rname")).otherwise(F.col("rnext"))}).drop("pos1", "pnext1", "rnext"))
 
@@ -193,3 +193,33 @@ def vcf(spark: SparkSession, *paths: str) -> DataFrame:
 def region(rows: DataFrame, chrom: str, start: int, stop: int) -> DataFrame:
     """Rows (chrom, start, stop) that overlap a region."""
     return rows.where((F.col("chrom") == chrom) & (F.col("start") < stop) & (F.col("stop") > start))
+
+
+def extract_reads(spark: SparkSession, *paths: str, fraction: float = 1.0, chrom: str | None = None, start: int = 0, stop: int = 1 << 30) -> DataFrame:
+    """name, seq, qual of reads of FASTQ, FASTA, SAM or BAM files, told by their endings.
+
+    A fraction is taken by hash of the name, so mates stay together. A region keeps aligned reads that overlap it.
+    """
+    from .bam import bam
+
+    parts = []
+    for path in paths:
+        kind = path.removesuffix(".gz").rpartition(".")[2].lower()
+        if kind in ("fq", "fastq"):
+            rows = fastq(spark, path).select("name", "seq", "qual")
+        elif kind in ("fa", "fasta"):
+            rows = fasta(spark, path).select("name", "seq", F.lit(None).cast("string").alias("qual"))
+        elif kind in ("sam", "bam"):
+            rows = sam(spark, path) if kind == "sam" else bam(spark, path)
+            if chrom is not None:
+                rows = rows.where((F.col("rname") == chrom) & (F.col("pos") < stop) & (F.col("aend") > start))
+            turned = lambda c, other: F.when(F.col("is_reverse"), other).otherwise(F.col(c))
+            rows = rows.where(~F.col("secondary") & ~F.col("supplementary")).select(F.col("qname").alias("name"), turned("seq", S.reverse_complement("seq")).alias("seq"), turned("qual", F.reverse("qual")).alias("qual"))
+        else:
+            raise ValueError(f"no reads in {path}")
+        parts.append(rows)
+    out = parts[0]
+    for rows in parts[1:]:
+        out = out.unionByName(rows)
+    base = F.substring_index("name", "/", 1)
+    return out if fraction >= 1 else out.where(F.pmod(F.xxhash64(base), F.lit(1_000_000)) < int(fraction * 1_000_000))

@@ -155,3 +155,22 @@ def test_stages_are_taken_up_again(spark, tmp_path):
     assert ran == ["a", "b", "c"]
     stages.run(spark, plan, inputs, f"{tmp_path}/run", start="b")
     assert ran == ["a", "b", "c", "b", "c"]
+
+
+def test_neighbours_are_oriented(spark):
+    """Barcodes cross the seam from the end of line 1 to the end of line 2, which is thus turned round."""
+    rng = random.Random(3)
+    size, rows = 20_000, []
+    for b in range(1, 200):
+        start = rng.randrange(2 * size - 6000)
+        for _ in range(12):
+            at = start + rng.randrange(6000)
+            rows.append((1, b, at) if at < size else (2, b, 2 * size - at - 1))
+    positions = spark.createDataFrame(rows, "line long, barcode long, pos long")
+    facts = spark.createDataFrame([(1, size, 1.0), (2, size, 1.2), (3, size, 3.0), (4, 100, 1.0)], "line long, length long, copies double")
+    neighbours = spark.createDataFrame([(1, 2, 50), (1, 3, 90), (1, 4, 99)], "owner long, neighbour long, common long")
+    pairs = lines.star_candidates(neighbours, facts)
+    assert [tuple(r) for r in pairs.collect()] == [(1, 2)]
+    best = lines.orientations(positions, facts, pairs)
+    assert [(r.side, r.reversed) for r in best.collect()] == [("after", True)]
+    assert [tuple(r) for r in lines.next_lines(best, facts).collect()] == [(1, 2, True)]

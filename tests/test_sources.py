@@ -167,3 +167,24 @@ def test_metric_sinks(spark):
     assert sorted(r.value for r in sinks.metrics_text(rows).collect())[0] == "a 3"
     bins = spark.createDataFrame([(0.0, 2), (20.0, 5)], "bin double, n long")
     assert json.loads(sinks.histogram_json(bins, "d", "s", 10.0).first().value)["vals"] == [2, 0, 5]
+
+
+def test_reads_of_several_formats(spark, tmp_path):
+    (tmp_path / "a.sam").write_text(SAM.replace("r4\t0", "r4\t16"))
+    (tmp_path / "a.fa").write_text(">x y\nAC\nGT\n")
+    (tmp_path / "a.fq").write_text(as_fastq(reads(30)))
+    got = {r.name: (r.seq, r.qual) for r in text.extract_reads(spark, f"{tmp_path}/a.sam", f"{tmp_path}/a.fa", f"{tmp_path}/a.fq").collect()}
+    assert len(got) == 36 and got["x"] == ("ACGT", None) and got["r4"][0] == "GTACGTACGT"
+    near = text.extract_reads(spark, f"{tmp_path}/a.sam", chrom="s1", start=25, stop=31)
+    assert sorted(r.name[:2] for r in near.collect()) == ["r2", "r3"]
+    some = text.extract_reads(spark, f"{tmp_path}/a.fq", fraction=0.5).count()
+    assert 5 < some < 25
+    with pytest.raises(ValueError):
+        text.extract_reads(spark, "a.txt")
+
+
+def test_vcf_lines_read_back(spark, tmp_path):
+    lines = ["chr1\t10\trs1\tA\tC,G\t50.0\tPASS\tDB;DP=9", "chr2\t1\t.\tT\tA\t.\t.\t."]
+    (tmp_path / "a.vcf").write_text("##f\n" + "\n".join(lines) + "\n")
+    written = sorted(r.value for r in sinks.vcf_text(text.vcf(spark, f"{tmp_path}/a.vcf")).collect())
+    assert written == sorted(lines)
