@@ -102,4 +102,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+#: SQL for the operators that it can express. The others are held against brute force in the tests.
 ORACLE_SQL: dict[str, str] = {}
+
+MARK = r"<\\*s>|<\\*/s>|\[\\*INST\]|\[\\*/INST\]"
+
+ORACLE_SQL["op2_chat_round_trip"] = f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'),
+sized AS (SELECT *, length(role) + length(text) + len(regexp_extract_all(role, '{MARK}')) + len(regexp_extract_all(text, '{MARK}')) + {len(chat.ROLE + chat.BODY + chat.END)} AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) + {len(chat.BEGIN)} AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+
+def _shares() -> str:
+    """For each n-gram length the characters of words inside windows that their text repeats."""
+    parts = [
+        f"""g{n} AS (SELECT doc_id, i, array_to_string(w[i:i + {n - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM docs WHERE len(w) >= {n})),
+c{n} AS (SELECT doc_id, count(*) AS words, sum(length(w[p])) AS chars FROM (SELECT DISTINCT doc_id, unnest(range(i, i + {n})) AS p FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM g{n}) WHERE k > 1)
+  JOIN docs USING (doc_id) GROUP BY 1)"""
+        for n in sorted({quality.BASE_N, *quality.LIMITS})
+    ]
+    return ",\n".join(parts)
+
+
+WORD = r"[^\x20\x09-\x0D]"
+
+ORACLE_SQL["op3_repetition_quality"] = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS w FROM documents),
+lines AS (SELECT doc_id, line, CAST(coalesce(list_sum(list_transform(regexp_extract_all(line, '{WORD}+'), lambda x: length(x))), 0) AS BIGINT) AS chars
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '{WORD}')),
+kinds AS (SELECT doc_id, line, any_value(chars) AS chars, count(*) AS n FROM lines GROUP BY 1, 2),
+dups AS (SELECT doc_id, sum(n - 1) AS n, sum((n - 1) * chars) AS chars FROM kinds GROUP BY 1),
+{_shares()},
+base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(dups.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c3.words, 0) AS BIGINT) AS n_repeat_words,
+  coalesce(dups.chars, 0) AS line_chars, {", ".join(f"coalesce(c{n}.chars, 0) AS chars{n}" for n in quality.LIMITS)}
+  FROM docs LEFT JOIN dups USING (doc_id) {" ".join(f"LEFT JOIN c{n} USING (doc_id)" for n in sorted({quality.BASE_N, *quality.LIMITS}))}),
+shares AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  CAST(line_chars AS DOUBLE) / greatest(1, word_chars) AS dup_line_share, {", ".join(f"CAST(chars{n} AS DOUBLE) / greatest(1, word_chars) AS dup_{n}gram_share" for n in quality.LIMITS)} FROM base)
+SELECT *, NOT base_failed AND dup_line_share <= {quality.LINE_LIMIT} {" ".join(f"AND dup_{n}gram_share <= {m}" for n, m in quality.LIMITS.items())} AS kept FROM shares"""
+
+ORACLE_SQL["op5_exact_topk"] = f"""
+WITH vecs AS (SELECT vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM vecs q JOIN vecs c ON q.vec_id <> c.vec_id WHERE q.vec_id % {topk.EVERY} = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INT) AS rank, vec_id, score FROM ranked WHERE place <= {topk.K}"""
