@@ -12,6 +12,8 @@ from braidlake.functions.sequence import neighbours, second_neighbours
 
 #: Below this many rows a side is broadcast; it is counted first.
 SMALL_SIDE = 200_000
+#: Entries of a calibration table, which become part of the plan.
+MOST_ENTRIES = 20_000
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -119,12 +121,12 @@ def point_join(points: DataFrame, intervals: DataFrame, width: int, at: str = "p
 def nearest(rows: DataFrame, table: DataFrame, value: str, key: str, result: str) -> DataFrame:
     """rows and, of the entry whose key is closest to their value, the result; of equally close ones the first key.
 
-    Each row is bracketed by the entries below and above it in one window over both, so no pairs are made. Rows
-    are windowed within ranges of values: entries are given to the range they lie in and bound the next.
+    A calibration table is small and becomes a sorted array in the plan, searched by halves for each row: no pairs
+    are made and nothing is shuffled. Larger tables are refused.
     """
-    entries = [(r[0], r[1]) for r in table.groupBy(key).agg(F.min(result)).orderBy(key).limit(SMALL_SIDE + 1).collect()]
-    if len(entries) > SMALL_SIDE:
-        raise ValueError(f"a calibration table has at most {SMALL_SIDE} entries")
+    entries = [(r[0], r[1]) for r in table.groupBy(key).agg(F.min(result)).orderBy(key).limit(MOST_ENTRIES + 1).collect()]
+    if len(entries) > MOST_ENTRIES:
+        raise ValueError(f"a calibration table has at most {MOST_ENTRIES} entries")
     keys, results = F.lit([float(k) for k, _ in entries]), F.lit([r for _, r in entries])
     # binary search over the sorted keys, folded over as many halvings as they need
     steps = F.sequence(F.lit(1), F.lit(max(1, len(entries).bit_length())))

@@ -29,9 +29,10 @@ def count(reads: DataFrame, k: int, least: int = 3, least_barcodes: int = 2, seq
     Two steps, so that a frequent k-mer is combined by barcode where its rows are.
     """
     longer = reads.where(F.length(seq) >= k + 1)
-    rows = longer.select(F.col(barcode).alias("b"), F.col(seq).alias("s"), F.posexplode(S.kmers(seq, k)).alias("pos", "kmer"))
-    before, after = F.substring("s", F.col("pos"), F.lit(1)), F.substring("s", F.col("pos") + k + 1, F.lit(1))
-    before = F.when(F.col("pos") > 0, before).otherwise("")
+    # a window and the base on either side of it, so that no row carries its whole sequence
+    wide = F.explode(S.kmers(F.concat(F.lit("-"), F.col(seq), F.lit("-")), k + 2))
+    rows = longer.select(F.col(barcode).alias("b"), wide.alias("w")).select("b", F.substring("w", 2, k).alias("kmer"), F.substring("w", 1, 1).alias("before"), F.right("w", F.lit(1)).alias("after"))
+    before, after = F.col("before"), F.col("after")
     rev = S.is_reverse("kmer") if canonical else F.lit(False)
     first = F.when(rev, S.reverse_complement(after)).otherwise(before)
     last = F.when(rev, S.reverse_complement(before)).otherwise(after)
