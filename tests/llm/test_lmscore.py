@@ -2,8 +2,10 @@ import math
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from braidlake.llm import lmscore
+from braidlake.llm.common import fold
 
 GOOD = ["the cat sat on the mat", "the dog sat on the mat", "the cat ran on the mat"]
 OTHER = ["buy now cheap cheap deal", "buy cheap now deal deal", "deal now buy cheap"]
@@ -64,3 +66,16 @@ def test_awkward_rows(spark, awkward, empty):
     assert lmscore.score(empty, lmscore.fit(empty, frozenset())).count() == 0
     same = lmscore.score(awkward, lmscore.fit(awkward, frozenset())).collect()
     assert all(r.score == 0 for r in same)
+
+
+def test_held_out_good_documents_score_lower(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    learned = lmscore.target_ids(labels.where(fold(F.col("doc_id")) != 0))
+    scores = {r.doc_id: r.score for r in lmscore.score(docs, lmscore.fit(docs, learned)).collect()}
+    held = labels.where(fold(F.col("doc_id")) == 0).collect()
+    good = [scores[r.doc_id] for r in held if r.quality == 1]
+    bad = [scores[r.doc_id] for r in held if r.quality == 0]
+    ranked = sum((g < b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    assert ranked >= 0.9, ranked
