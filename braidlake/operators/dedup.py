@@ -37,11 +37,21 @@ def predup(pairs: DataFrame, bases: int = 40) -> DataFrame:
 ALIGNMENT_KEY = ("barcode", "is_read1", "is_reverse", "tid", "pos", "mate_tid", "mate_pos")
 
 
-def mark_duplicates(rows: DataFrame, key: Sequence[str] = ALIGNMENT_KEY, order: Sequence[str] = ("qname",), mapped: Column | None = None, name: str = "is_duplicate") -> DataFrame:
-    """Flag all but the first row of each key, in the given order. Rows that aren't ``mapped`` are never flagged."""
+def mark_duplicates(rows: DataFrame, key: Sequence[str] = ALIGNMENT_KEY, order: Sequence[str] = ("qname",), mapped: Column | None = None, name: str = "is_duplicate", salts: int = 1) -> DataFrame:
+    """Flag all but the first row of each key, in the given order. Rows that aren't ``mapped`` are never flagged.
+
+    With ``salts`` above 1 a hot key is ranked in that many tasks: the first row of each salt is found there, and
+    only those, at most ``salts`` a key, are compared with each other. That costs a second shuffle.
+    """
     mapped = F.lit(True) if mapped is None else mapped
-    place = F.row_number().over(Window.partitionBy(*key, mapped).orderBy(*order))
-    return rows.withColumn(name, mapped & (place > 1))
+    if salts == 1:
+        return rows.withColumn(name, mapped & (F.row_number().over(Window.partitionBy(*key, mapped).orderBy(*order)) > 1))
+    named = rows.withColumns({"_mapped": mapped, "_salt": F.pmod(F.xxhash64(*order), F.lit(salts))})
+    ranked = named.withColumn("_r", F.row_number().over(Window.partitionBy(*key, "_mapped", "_salt").orderBy(*order)))
+    later = ranked.where("_r > 1").withColumn(name, F.col("_mapped"))
+    place = F.row_number().over(Window.partitionBy(*key, "_mapped").orderBy(*order))
+    first = ranked.where("_r = 1").withColumn(name, F.col("_mapped") & (place > 1))
+    return later.unionByName(first).drop("_mapped", "_salt", "_r")
 
 
 def group_sizes(rows: DataFrame, key: Sequence[str] = ALIGNMENT_KEY) -> DataFrame:

@@ -123,6 +123,13 @@ def test_first_of_a_key_is_no_duplicate(spark):
     assert rows == {0: False, 1: True, 2: True, 9: False, 10: False}
 
 
+def test_salted_marks_are_the_same(spark):
+    rng = random.Random(1)
+    df = spark.createDataFrame([(i, rng.choice([1, 1, 1, 2, None]), rng.random() < 0.8) for i in range(200)] * 2, "qname int, k int, mapped boolean")
+    of = lambda n: sorted((tuple(r) for r in dedup.mark_duplicates(df, ["k"], mapped=F.col("mapped"), salts=n).collect()), key=repr)
+    assert of(1) == of(8)
+
+
 # joins
 
 
