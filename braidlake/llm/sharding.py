@@ -4,13 +4,13 @@ Law ``bytes``: shards get near equal numbers of bytes, and equal texts stay toge
 of 64 bits, whose first ``CELL_BITS`` bits name a cell; a cell is an atomic group, as equal texts share one. The
 smallest feasible capacity is found by binary search: a capacity is feasible if filling shards greedily, in order,
 needs no more than there are. The cuts are then made where greedy filling at that capacity allows, each as near
-as may be to its even share.
+as may be to an even share of what is left.
 
 The driver sees the cells' sums only, at most 2**CELL_BITS whatever the number of documents. Slots are ranks
 within a cell (salted, so that a large group of copies isn't ranked in one task) after the cells before it.
 
 Size: bytes of the text and 16. Defined cases: a null text has no bytes, crc32 0 and a cell of its own. Repeated
-rows each have a slot. With fewer cells than shards some shards stay empty. An empty table gives an empty result.
+rows each have a slot. With fewer cells than shards the last shards stay empty. An empty table gives an empty result.
 Columns other than doc_id and text are ignored.
 """
 
@@ -59,12 +59,14 @@ def cuts(sizes: np.ndarray, shards: int) -> np.ndarray:
     earliest = earliest[::-1]
     out = [0]
     for k in range(1, shards):
-        latest = int(np.searchsorted(prefix, prefix[out[-1]] + capacity, side="right")) - 1
-        even = prefix[-1] * k / shards
+        at = out[-1]
+        latest = int(np.searchsorted(prefix, prefix[at] + capacity, side="right")) - 1
+        # an even share of what is left; a group larger than that takes a shard, and the rest still share evenly
+        even = prefix[at] + (prefix[-1] - prefix[at]) / (shards - k + 1)
         near = int(np.searchsorted(prefix, even, side="left"))
         if near > 0 and even - prefix[near - 1] <= prefix[min(near, end)] - even:
             near -= 1
-        out.append(min(max(near, earliest[k], out[-1]), latest))
+        out.append(min(max(near, earliest[k], at + 1), latest, end))
     return np.array([*out, end])
 
 

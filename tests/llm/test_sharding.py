@@ -30,6 +30,15 @@ def test_minimax_against_all_partitions(sizes, shards):
     assert max(sizes[a:b].sum() for a, b in zip(begins, begins[1:], strict=False)) == brute_capacity(sizes.tolist(), shards)
 
 
+def test_a_large_group_leaves_the_rest_even():
+    sizes = np.array([10] * 300 + [1000] + [10] * 300)
+    begins = sharding.cuts(sizes, 20)
+    weights = [int(sizes[a:b].sum()) for a, b in zip(begins, begins[1:], strict=False)]
+    # the shard that ends where the large group begins may be smaller; all others are even
+    assert max(weights) == 1000 and sorted(weights)[-2] <= 400 and sorted(weights)[1] >= 280
+    assert sharding.cuts(np.array([5, 5]), 4).tolist() == [0, 1, 2, 2, 2]
+
+
 def check(df, rows):
     texts = sorted(((r.doc_id, (r.text or "").encode()) for r in df.collect()), key=repr)
     assert sorted(((r.doc_id, r.size, r.text_crc32) for r in rows), key=repr) == sorted(((i, len(t) + 16, zlib.crc32(t)) for i, t in texts), key=repr)
