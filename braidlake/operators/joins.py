@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from braidlake.functions.numeric import error_probability
 from braidlake.functions.sequence import neighbours, second_neighbours
+from braidlake.runtime import materialize
 
 #: Below this many rows a side is broadcast; it is counted first.
 SMALL_SIDE = 200_000
@@ -72,7 +73,8 @@ def correct_barcodes(reads: DataFrame, counts: DataFrame, confidence: float = 0.
     """
     total = F.sum(F.col("n") + 1).over(Window.partitionBy(F.lit(0)))
     prior = small(counts.select(F.col("barcode").alias("candidate"), ((F.col("n") + 1) / total).alias("prior")))
-    known = reads.join(prior.withColumnRenamed("candidate", "raw"), "raw", "left")
+    # five branches read this, of which most rows take the first
+    known = materialize(reads.join(prior.withColumnRenamed("candidate", "raw"), "raw", "left").select("read_id", "raw", "quals", "prior"), "known")
     passed = F.col("prior").isNotNull() & F.forall("quals", lambda q: q > trusted)
     easy = known.where(passed).select("read_id", F.col("raw").alias("barcode"))
     hard = known.where(~F.coalesce(passed, F.lit(False)))
