@@ -41,7 +41,7 @@ SALTS = 64
 #: What ends a document: id 0.
 END = bytes(4)
 #: Words of a generation that a worker remembers; long ones count for more.
-CACHE = 200_000
+CACHE = 300_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -76,6 +76,7 @@ class Words(dict):
         self.letters = byte_letters()
         self.old: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
+        self.old_parts: dict[bytes, bytes] = {}
         self.size = 0
 
     def encode(self, text: str) -> bytes:
@@ -99,7 +100,7 @@ class Words(dict):
                 letters = b""
             if letters:
                 if (ids := self.parts.get(letters)) is None:
-                    ids = self.parts[letters] = self.core(letters)
+                    ids = self.parts[letters] = self.old_parts.get(letters) or self.core(letters)
                 if tail:
                     if (end := self.parts.get(tail)) is None:
                         end = self.parts[tail] = self.encode(tail.decode())
@@ -121,7 +122,7 @@ class Words(dict):
             if self.size > CACHE:
                 self.old = dict(self)
                 self.clear()
-                self.parts, self.size = {}, 0
+                self.old_parts, self.parts, self.size = self.parts, {}, 0
         return out
 
 
