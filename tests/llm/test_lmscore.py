@@ -79,3 +79,25 @@ def test_held_out_good_documents_score_lower(spark):
     bad = [scores[r.doc_id] for r in held if r.quality == 0]
     ranked = sum((g < b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
     assert ranked >= 0.9, ranked
+
+
+def test_every_word_and_bigram_keeps_its_own_count(spark):
+    """More words than 60,000 of one count and more bigrams than 2^19 cells, against exact counts."""
+    words = [f"w{i}" for i in range(70_000)]
+    texts = [" ".join(words[i] for i in range(k, 70_000 * 9 + k, 9 + k) if i < 70_000) for k in range(9)] + [" ".join(words[::-1]), " ".join(words)]
+    texts += [" ".join(words[(i * step) % 70_000] for i in range(70_000)) for step in (3, 11, 13, 17, 19, 23, 27, 29)]
+    df = docs_of(spark, texts)
+    rows = {r.doc_id: r for r in lmscore.score(df, lmscore.fit(df, frozenset({0, 1, 9, 11}))).collect()}
+    assert len(rows) == len(texts)
+    for k in (0, 5, 9, 10, 14):
+        target, background = brute(texts, [texts[i] for i in (0, 1, 9, 11)], texts[k])
+        assert abs(rows[k].ce_target - target) < 1e-6 and abs(rows[k].ce_background - background) < 1e-6
+
+
+def test_other_documents_than_the_corpus(spark):
+    texts = GOOD + OTHER
+    model = lmscore.fit(docs_of(spark, texts), frozenset({0, 1, 2}))
+    others = ["the cat sat now", "unseen words", "cheap cheap mat"]
+    for r in lmscore.score(docs_of(spark, others), model).collect():
+        target, background = brute(texts, GOOD, others[r.doc_id])
+        assert abs(r.ce_target - target) < 1e-9 and abs(r.ce_background - background) < 1e-9
