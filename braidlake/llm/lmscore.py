@@ -5,7 +5,7 @@ documents. A document's score is its cross-entropy under the target model less t
 per token, its end counted as a token: low scores mean text like the target's.
 
 Vocabulary: all words (A-Z lower-cased) with at least two occurrences in all documents; any other word is one
-unknown word. Words and bigrams are counted exactly over all documents. Probabilities are
+unknown word. Words and bigrams are counted exactly over all documents, and over all labelled good. Probabilities are
 (c(ab) + M p(b)) / (c(a) + M), with p(b) from word counts, half a count added for each. A word is as often a history
 as it is a token, a text's edge included, so c(a) is its word count.
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from braidlake.operators.joins import small
 from braidlake.runtime import map_arrow, materialize
 
-from .common import few_ids, pieces, texts_of
+from .common import pieces, texts_of
 
 #: Ids before those of words: a text's edge, the unknown word.
 EDGE, UNKNOWN = 0, 1
@@ -338,15 +338,21 @@ class Model:
     totals: Totals
 
 
-def target_ids(labels: DataFrame, max_target: int = 20_000) -> frozenset[int]:
-    """Ids of documents labelled good, at most so many."""
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return frozenset(few_ids(materialize(good, "target"), max_target))
+def target_of(labels: DataFrame) -> DataFrame:
+    """A table (doc_id) of all documents labelled good."""
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
-def fit(docs: DataFrame, target: frozenset[int]) -> Model:
+def target_ids(labels: DataFrame) -> frozenset[int]:
+    """The ids of ``target_of`` at the driver, for labels that fit there; the query joins the table."""
+    return frozenset(r.doc_id for r in target_of(labels).collect())
+
+
+def fit(docs: DataFrame, target: DataFrame | frozenset[int]) -> Model:
+    """target: a table of ids (doc_id), or few ids as a set."""
     spark = docs.sparkSession
-    blocks = blocks_of(flagged(docs, spark.createDataFrame([(x,) for x in sorted(target)], "doc_id long")))
+    ids = target if isinstance(target, DataFrame) else spark.createDataFrame([(x,) for x in sorted(target)], "doc_id long")
+    blocks = blocks_of(flagged(docs, ids))
     sums = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_docs", "good_docs", "n_tokens", "good_tokens"))).first()
     parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), sums[2] // TOKENS)
     words = materialize(answers(word_requests(blocks, parts), None, parts, True), "words")

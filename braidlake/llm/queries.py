@@ -83,7 +83,7 @@ def op9_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document, between documents labelled good and all documents."""
     docs = table(spark, sf_dir, "documents")
-    return lmscore.score(docs, lmscore.fit(docs, lmscore.target_ids(table(spark, sf_dir, "labels"))))
+    return lmscore.score(docs, lmscore.fit(docs, lmscore.target_of(table(spark, sf_dir, "labels"))))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -101,3 +101,30 @@ def test_other_documents_than_the_corpus(spark):
     for r in lmscore.score(docs_of(spark, others), model).collect():
         target, background = brute(texts, GOOD, others[r.doc_id])
         assert abs(r.ce_target - target) < 1e-9 and abs(r.ce_background - background) < 1e-9
+
+
+def test_all_documents_labelled_good_are_counted(spark, tmp_path):
+    """More than 20,000, which the query once took at most."""
+    from braidlake.llm.queries import op10_lm_scoring
+
+    n = 20_500
+    docs = spark.range(n + 2).selectExpr("id as doc_id", f"case when id < {n} then concat('w', id, ' w', id) else 'other other' end as text")
+    docs.unionByName(docs.where(f"doc_id = {n}").withColumn("doc_id", F.lit(None).cast("long"))).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(n).selectExpr("id as doc_id", "1 as quality").unionByName(spark.sql("select cast(null as bigint) as doc_id, 1 as quality")).write.parquet(f"{tmp_path}/labels.parquet")
+    rows = op10_lm_scoring(spark, str(tmp_path)).collect()
+    # every good text is as like the target as any other, those not labelled are unlike
+    good = {round(r.score, 9) for r in rows if r.doc_id is not None and r.doc_id < n}
+    assert len(rows) == n + 3 and len(good) == 1 and max(good) < 0
+    assert all(r.score > 0 for r in rows if r.doc_id is None or r.doc_id >= n)
+
+
+def test_labels_too_many_to_broadcast(spark, monkeypatch):
+    from braidlake.operators import joins
+
+    monkeypatch.setattr(joins, "SMALL_SIDE", 1)
+    texts = GOOD + OTHER
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 1), (2, 1), (3, 0)], "doc_id long, quality int")
+    df = docs_of(spark, texts)
+    for r in lmscore.score(df, lmscore.fit(df, lmscore.target_of(labels))).collect():
+        target, background = brute(texts, GOOD, texts[r.doc_id])
+        assert abs(r.ce_target - target) < 1e-9 and abs(r.ce_background - background) < 1e-9
