@@ -15,7 +15,7 @@ from braidlake.functions import numeric as N
 from braidlake.functions import sequence as S
 from braidlake.operators import aggregates, alignment, dedup, graph, intervals, joins, kmers, nstats, sets, sorting, windows
 from braidlake.operators import lines as lines_
-from braidlake.runtime import table
+from braidlake.runtime import spread, table
 from braidlake.streaming import events as streams
 
 from . import inputs as I
@@ -1010,9 +1010,9 @@ def ambiguous_sequences(spark, sf_dir):
 @query()
 def local_alignments(spark, sf_dir):
     """Neighbouring items aligned locally; tested against a plain table of scores."""
-    rows = I.items(spark, sf_dir).select("read_id", F.substring("seq", 1, 100).alias("query"))
+    rows = I.items(spark, sf_dir).select("read_id", F.col("seq").alias("query"))
     after = rows.select((F.col("read_id") - 1).alias("read_id"), F.col("query").alias("target"))
-    return alignment.aligned(rows.join(after, "read_id"))
+    return alignment.aligned(spread(rows.join(after, "read_id")))
 
 
 @query()

@@ -174,3 +174,16 @@ def test_neighbours_are_oriented(spark):
     best = lines.orientations(positions, facts, pairs)
     assert [(r.side, r.reversed) for r in best.collect()] == [("after", True)]
     assert [tuple(r) for r in lines.next_lines(best, facts).collect()] == [(1, 2, True)]
+
+
+def test_local_alignments_take_whole_sequences(spark, tmp_path):
+    """A match of 60 that begins after the first 100 characters."""
+    from braidlake.plans import catalog
+
+    rng = random.Random(3)
+    shared = "".join(rng.choice("abcd") for _ in range(60))
+    texts = ["a" * 130 + shared, "c" * 140 + shared + "c" * 20]
+    spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    (r,) = catalog.QUERIES["local_alignments"](spark, str(tmp_path)).collect()
+    assert (len(r.query), len(r.target)) == (190, 220)
+    assert (r.score, r.query_start, r.query_stop, r.target_start, r.target_stop, r.cigar) == (60, 130, 190, 140, 200, "60M")
