@@ -187,3 +187,13 @@ def test_local_alignments_take_whole_sequences(spark, tmp_path):
     (r,) = catalog.QUERIES["local_alignments"](spark, str(tmp_path)).collect()
     assert (len(r.query), len(r.target)) == (190, 220)
     assert (r.score, r.query_start, r.query_stop, r.target_start, r.target_stop, r.cigar) == (60, 130, 190, 140, 200, "60M")
+
+
+def test_graph_distances_keep_far_nodes(spark, tmp_path):
+    """A chain of 15 steps from node 1."""
+    from braidlake.plans import catalog
+
+    parts = [next(p for p in range(a, a + 400 * 401, 400) if p * 7 % 401 == a + 1) for a in range(1, 16)]
+    spark.createDataFrame([(p,) for p in parts], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    rows = catalog.QUERIES["graph_distances"](spark, str(tmp_path)).collect()
+    assert {r.node: r.distance for r in rows} == {a: a - 1 for a in range(1, 17)}
