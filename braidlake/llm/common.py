@@ -9,7 +9,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -61,6 +61,50 @@ def filter_pieces(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) -
     return map_arrow(df, run, df.schema)
 
 
+def ranked(rows: DataFrame, key: str) -> DataFrame:
+    """rows and ``rank``, gapless from 0 within each value of key.
+
+    rows: written, with ``mid`` (monotonically_increasing_id at that time). A key's rows are ranked apart in each
+    of the partitions in which they were written, however many they are, after the counts of those before.
+    """
+    rows = rows.withColumn("part", F.shiftright("mid", 33))
+    counts = rows.groupBy(key, "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = counts.select(key, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    local = rows.withColumn("local", F.row_number().over(Window.partitionBy(key, "part").orderBy("mid")) - 1)
+    return local.join(earlier, [key, "part"]).withColumn("rank", (F.col("earlier") + F.col("local")).cast("long")).drop("part", "earlier", "local", "mid")
+
+
+def plainly(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with columns c0, c1 and so on, and their true names: no name can clash or need quotes."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))), docs.columns
+
+
+def place_of(names: list[str], name: str) -> str:
+    """The plain column of a name; one of another case counts where the name itself is missing."""
+    alike = [i for i, x in enumerate(names) if x.lower() == name]
+    exact = [i for i in alike if names[i] == name]
+    return f"c{(exact or alike)[0]}"
+
+
+def columns_of(docs: DataFrame, **kinds: str) -> DataFrame:
+    """The named columns as the given types; other columns may have any names."""
+    plain, names = plainly(docs)
+    return plain.select(*(F.col(place_of(names, x)).cast(kind).alias(x) for x, kind in kinds.items()))
+
+
+def with_row(docs: DataFrame, **kinds: str) -> DataFrame:
+    """The named columns, and all columns as they are in one column ``_row``, which ``rows_of`` takes apart."""
+    plain, names = plainly(docs)
+    row = F.struct(*(F.col(f"c{i}") for i in range(len(names)))).alias("_row")
+    return plain.select(row, *(F.col(place_of(names, x)).cast(kind).alias(x) for x, kind in kinds.items()))
+
+
+def rows_of(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs again, from the column ``_row``."""
+    return kept.select("_row.*").toDF(*docs.columns)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS
