@@ -8,7 +8,9 @@ Candidates: the 64 bits form a ring of five segments. If two fingerprints differ
 some segment on every chain of k consecutive segments differs in at most 4k/5 bits, rounded down: 0, 1, 2, 3, 4.
 So they agree in that segment and differ in at most one bit of the next. Each distinct fingerprint is filed
 under those 26 bits from each of the five starts, once as it is (the probe) and once for every single change of
-the second segment's bits; only those that meet under a key are compared: first the longer chains, then all bits.
+the second segment's bits; only those that meet under a key are compared: chains of one to four segments prune, and
+the check of all bits, a chain of five, comes last for what they leave. Keys have 26 bits whatever the input, so
+comparisons grow with the square of the distinct fingerprints, divided by 2**26.
 
 Exact copies are one fingerprint from the start. Under a key, large groups are not compared pair by pair: a
 search visits each fingerprint once and gives a spanning forest of the links. A key estimated (from a sample of
@@ -18,7 +20,7 @@ large and small stars, each round written to the shared folder.
 
 Defined cases: null or empty texts have fingerprint zero. Repeated rows stay rows of their own. An empty table
 gives an empty result. If all ids of a component are null, its component_id is null. Columns other than doc_id
-and text are ignored by ``components``, and kept by ``deduplicate``.
+and text are ignored by ``components``, and kept by ``deduplicate``, whatever their names. Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import types as T
 from braidlake.operators import graph
 from braidlake.runtime import map_arrow, materialize
 
-from .common import map_pieces, texts_of
+from .common import columns_of, map_pieces, rows_of, texts_of, with_row
 
 SHINGLE = 4
 SEED = 42
@@ -72,7 +74,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (a signed long) of every whole text."""
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
     return map_pieces(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
+        columns_of(docs, doc_id="long", text="string"),
         lambda piece: {"doc_id": piece.column(0), "fp": [fingerprint(x) for x in texts_of(piece)]},
         schema,
     )
@@ -93,16 +95,17 @@ def keys_of(fps: np.ndarray, start: int) -> np.ndarray:
 
 
 def chained(x: np.ndarray, start: np.ndarray | int) -> np.ndarray:
-    """Whether differences x pass the chains from a start and the full check."""
-    ok = np.bitwise_count(x) <= MAX_BITS
+    """Whether differences x pass ever longer chains from a start, of which the last is the full check."""
+    ok = np.zeros(x.shape, bool)
     starts = np.broadcast_to(np.asarray(start), x.shape)
-    for s in range(5):
-        at = np.flatnonzero(ok & (starts == s))
-        if len(at):
-            y, width = turned(x[at], s), 0
-            for k in range(4):
-                width += WIDTHS[(s + k) % 5]
-                ok[at] &= np.bitwise_count(y & np.uint64((1 << width) - 1)) <= MAX_BITS * (k + 1) // 5
+    for s in np.unique(starts).tolist():
+        at, width = np.flatnonzero(starts == s), 0
+        y = turned(x[at], s)
+        for k in range(5):
+            width += WIDTHS[(s + k) % 5]
+            near = np.bitwise_count(y & np.uint64((1 << width) - 1)) <= MAX_BITS * (k + 1) // 5
+            at, y = at[near], y[near]
+        ok[at] = True
     return ok
 
 
@@ -258,13 +261,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Among rows of that id the least text hash wins; rows equal in both stay once. A component whose ids are all
     null keeps its least text hash.
     """
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h"))
+    keyed = columns_of(docs, doc_id="long", text="string").withColumn("h", F.xxhash64("text"))
     schema = T.StructType([T.StructField(x, T.LongType()) for x in ("doc_id", "h", "fp")])
     prints = materialize(map_pieces(keyed, lambda p: {"doc_id": p.column(0), "h": p.column(2), "fp": [fingerprint(x) for x in texts_of(p)]}, schema), "prints")
     kept = classes(prints).groupBy("root").agg(F.first("first").alias("k"))
     key = ["nil", "id", "hash"]
     kept = kept.select(F.col("k.nil").alias("nil"), F.coalesce("k.doc_id", F.lit(0)).alias("id"), F.col("k.h").alias("hash"))
     # the row travels as one column, so that no name of its own can clash
-    named = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").isNull().alias("nil"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
+    named = with_row(docs, doc_id="long", text="string").select("_row", F.col("doc_id").isNull().alias("nil"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
     once = Window.partitionBy(*key).orderBy(*key)
-    return named.join(kept, key, "left_semi").withColumn("n", F.row_number().over(once)).where("n = 1").select("row.*")
+    return rows_of(named.join(kept, key, "left_semi").withColumn("n", F.row_number().over(once)).where("n = 1"), docs)

@@ -22,7 +22,7 @@ def awkward(spark):
     rows += [rows[3], rows[3], rows[61]]
     df = spark.createDataFrame(rows, SCHEMA)
     extra = ("score", "size", "fp", "component_id", "key", "rank", "h", "length", "row", "nil", "id", "hash", "_size", "_key", "_row", "salt", "cell", "shard")
-    return df.withColumns({c: F.lit(c) for c in extra}).repartition(4)
+    return df.withColumns({c: F.lit(c) for c in (*extra, "mid", "part", "a.dot", "back`tick")}).repartition(4)
 
 
 @pytest.fixture(scope="session")
