@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from braidlake.runtime import map_arrow
 
-from .common import pieces
+from .common import columns_of, pieces
 
 BEGIN, ROLE, BODY, END = "<s>", "[INST]", "[/INST]", "</s>"
 MARKS = (BEGIN, ROLE, BODY, END)
@@ -97,13 +97,8 @@ def has_mark(text: str) -> bool:
 
 def ordered(conversations: DataFrame) -> DataFrame:
     """Turns of a conversation in one partition, in order. Only the sort that Spark can spill holds more than a batch."""
-    turns = conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    turns = columns_of(conversations, conv_id="long", turn="long", role="string", text="string")
+    return turns.fillna("", ["role", "text"]).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
 def format_conversations(conversations: DataFrame, loss_role: str = "assistant") -> DataFrame:
@@ -137,11 +132,14 @@ def as_batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=t) for i, t in enumerate(types)], names=list(names))
 
 
-def read_back(chunks: DataFrame) -> DataFrame:
-    """Parse formatted conversations, as format_conversations leaves them, into one digest row each.
+def read_back(chunks: DataFrame, in_order: bool = False) -> DataFrame:
+    """Parse formatted conversations into one digest row each.
 
-    Only the chunks and the loss spans are read; the source isn't.
+    Only the chunks and the loss spans are read; the source isn't. in_order: the rows lie as format_conversations
+    leaves them; otherwise they are sorted first. A turn that is missing or twice there is an error.
     """
+    if not in_order:
+        chunks = chunks.select("conv_id", "turn_index", "chunk", "loss_start", "loss_stop").repartition("conv_id").sortWithinPartitions("conv_id", "turn_index")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: Digest | None = None
@@ -151,6 +149,8 @@ def read_back(chunks: DataFrame) -> DataFrame:
                 if index == 0:
                     out += [state.row()] if state else []
                     state = Digest(conv_id)
+                if state is None or (conv_id, index) != (state.conv_id, state.turns):
+                    raise Broken(f"turn {index} of conversation {conv_id} is out of order")
                 state.add(chunk, start, stop)
             yield as_batch(out, DIGESTS)
         if state:
@@ -186,4 +186,4 @@ class Digest:
 
 def round_trip(conversations: DataFrame) -> DataFrame:
     """Format every conversation and read it back."""
-    return read_back(format_conversations(conversations))
+    return read_back(format_conversations(conversations), in_order=True)

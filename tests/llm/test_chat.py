@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -48,3 +49,13 @@ def test_awkward_turns(spark):
     assert tuple(rows[2])[1:5] == expected([("user", "t")] * 2)
     assert tuple(rows[3])[1:5] == expected([("x" * 99, "<s>" * 90_000)])
     assert chat.round_trip(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_stored_chunks_are_read_in_any_order(spark, tmp_path):
+    turns = spark.createDataFrame([(c, t, ("user", "assistant")[t % 2], f"text {c} {t} </s>") for c in range(7) for t in range(9)], "conv_id long, turn long, role string, text string")
+    want = sorted(map(tuple, chat.round_trip(turns).collect()))
+    chat.format_conversations(turns).orderBy("chunk").repartition(5).write.parquet(str(tmp_path / "chunks"))
+    stored = spark.read.parquet(str(tmp_path / "chunks"))
+    assert sorted(map(tuple, chat.read_back(stored).collect())) == want
+    with pytest.raises(Exception, match="out of order"):
+        chat.read_back(stored.where("turn_index <> 3")).collect()
