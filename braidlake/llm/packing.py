@@ -9,14 +9,15 @@ Pieces of one length are interchangeable, and so are sequences with the same roo
 from the histogram of lengths (at most CAPACITY numbers, counted over all documents): a move puts a range of the
 pieces of one length, by rank, into a range of sequences. The plan is as small for any number of documents, and
 is the packing that best-fit decreasing makes piece by piece. Each piece then finds its rank among the pieces of
-its length (salted, so that no length is ranked in one task) and its place in the plan.
+its length, counted apart in each partition, and its place in the plan. Full pieces fill a sequence each and need no rank.
 
 Tokens are looked up by word: the tokenizer's pre-tokenizer never joins across white space, so the ids of a text
 are those of its words. Words are cached in bounded memory. Texts with the control characters 0x1C-0x1F, where
 definitions of white space differ, are tokenized whole.
 
 Defined cases: a null or empty text is the single id 0. Repeated rows are packed each. An empty table gives an
-empty result. Columns other than doc_id and text are ignored.
+empty result. Very long texts are cut into as many pieces as it takes. Columns other than doc_id and text are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,15 +30,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from braidlake.runtime import map_arrow, materialize
 
-from .common import pieces, texts_of
+from .common import columns_of, pieces, ranked, texts_of
 
 CAPACITY = 2048
-SALTS = 64
 #: What ends a document: id 0.
 END = bytes(4)
 #: Words of a generation that a worker remembers; long ones count for more.
@@ -150,7 +150,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(out, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, PIECES)
+    return map_arrow(columns_of(docs, doc_id="long", text="string"), run, PIECES)
 
 
 class Rooms:
@@ -225,31 +225,26 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[int, list[
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """Every piece with its sequence and its place there."""
-    found = materialize(cut(docs, tokenizer, capacity), "pieces")
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
-    # at most capacity * SALTS rows, whatever the number of documents
-    counts = np.array([tuple(r) for r in salted.groupBy("length", "salt").count().orderBy("length", "salt").collect()], np.int64).reshape(-1, 3)
-    firsts, histogram = {}, {}
-    for length, salt, n in counts.tolist():
-        firsts[length * SALTS + salt] = histogram.get(length, 0)
-        histogram[length] = histogram.get(length, 0) + n
-    moves = plan(histogram, capacity)
-    own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = salted.withColumn("rank", F.row_number().over(own) - 1)
+    found = materialize(cut(docs, tokenizer, capacity).withColumn("mid", F.monotonically_increasing_id()), "pieces")
+    names = PLACED.replace(",", "").split()[::2]
+    # a full piece is a sequence; the others' are numbered from 0 on
+    full = found.where(F.col("length") == capacity).select(*names[:5], (-1 - F.col("mid")).alias(names[5]), F.lit(0).cast("long").alias(names[6]))
+    rest = found.where(F.col("length") < capacity)
+    # one row a length
+    moves = plan({r.length: r["count"] for r in rest.groupBy("length").count().collect()}, capacity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = {x: np.array(m, np.int64) for x, m in moves.items()}
         for batch in batches:
-            lengths, salts, ranks = (np.asarray(batch.column(i)).astype(np.int64) for i in (3, 5, 6))
+            lengths, ranks = (np.asarray(batch.column(i)).astype(np.int64) for i in (3, 5))
             sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
             order = np.argsort(lengths, kind="stable")
             kinds, begin = np.unique(lengths[order], return_index=True)
             for length, at in zip(kinds.tolist(), np.split(order, begin[1:]), strict=True):
-                table = tables[length]
-                rank = ranks[at] + np.array([firsts[length * SALTS + s] for s in salts[at].tolist()], np.int64)
+                table, rank = tables[length], ranks[at]
                 move = table[np.searchsorted(table[:, 0], rank, side="right") - 1]
                 which, place = np.divmod(rank - move[:, 0], move[:, 1])
                 sequence[at], offset[at] = move[:, 2] + which, move[:, 3] + place * length
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names=PLACED.replace(",", "").split()[::2])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names=names)
 
-    return map_arrow(ranked, run, PLACED)
+    return map_arrow(ranked(rest, "length").select(*names[:5], "rank"), run, PLACED).unionByName(full)
