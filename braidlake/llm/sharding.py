@@ -1,30 +1,35 @@
 """Sharding by a minimax contiguous partition.
 
-Law ``bytes``: shards get near equal numbers of bytes, and equal texts stay together. Texts are ordered by a hash
-of 64 bits, whose first ``CELL_BITS`` bits name a cell; a cell is an atomic group, as equal texts share one. The
-smallest feasible capacity is found by binary search: a capacity is feasible if filling shards greedily, in order,
-needs no more than there are. The cuts are then made where greedy filling at that capacity allows, each as near
-as may be to an even share of what is left.
-
-The driver sees the cells' sums only, at most 2**CELL_BITS whatever the number of documents. Slots are ranks
-within a cell (salted, so that a large group of copies isn't ranked in one task) after the cells before it.
-
-Size: bytes of the text and 16. Defined cases: a null text has no bytes, crc32 0 and a cell of its own. Repeated
-rows each have a slot. With fewer cells than shards the last shards stay empty. An empty table gives an empty result.
-Columns other than doc_id and text are ignored.
+Law ``bytes``: shards get near equal numbers of bytes, and equal texts stay together. Groups of equal texts are
+ordered by a hash of 64 bits. The smallest feasible capacity is found by binary search: a capacity is feasible if
+filling shards greedily, in order, needs no more than there are. The cuts are then made where greedy filling at that
+capacity allows, each as near as may be to an even share of what is left.
+
+The driver holds blocks of consecutive groups and their sizes, at first one for each value of the hash's leading
+``CELL_BITS`` bits. Two capacities bound the least one over single groups: that over whole blocks, and that over
+blocks that may be cut anywhere. While they differ, the blocks in which cuts may fall are split by the next
+``FINER`` bits, down to single groups, so that the capacity is exact. A round adds some thousands of blocks,
+whatever the number of documents. Slots are ranks within a shard, counted apart in each partition.
+
+Size: bytes of the text and 16. Defined cases: a null text has no bytes, crc32 0 and a group with other nulls. Very
+long texts are a group as any other. Repeated rows each have a slot. With fewer groups than shards the last shards stay
+empty. An empty table gives an empty result. Columns other than doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from braidlake.runtime import materialize
 
+from .common import columns_of, ranked
+
 SHARDS = 40
 CELL_BITS = 16
-SALTS = 32
+#: By how many bits of the hash a block is split.
+FINER = 6
 OVERHEAD = 16
 
 
@@ -70,34 +75,86 @@ def cuts(sizes: np.ndarray, shards: int) -> np.ndarray:
     return np.array([*out, end])
 
 
+def reach(sizes: np.ndarray, whole: np.ndarray, shards: int, capacity: int) -> np.ndarray:
+    """Where greedy shards end if blocks that aren't ``whole`` may be cut anywhere."""
+    prefix, at, out = np.concatenate([[0], np.cumsum(sizes)]), 0, []
+    for _ in range(shards):
+        at = min(at + capacity, int(prefix[-1]))
+        block = int(np.searchsorted(prefix, at, side="right")) - 1
+        if block < len(sizes) and whole[block]:
+            at = int(prefix[block])
+        out.append(at)
+    return np.array(out)
+
+
+def least_reach(sizes: np.ndarray, whole: np.ndarray, shards: int, most: int) -> int:
+    """The least capacity at which ``reach`` comes to the end."""
+    total = int(sizes.sum())
+    low, high = -(-total // shards), most
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if reach(sizes, whole, shards, middle)[-1] >= total else (middle + 1, high)
+    return low
+
+
+def to_split(sizes: np.ndarray, whole: np.ndarray, shards: int) -> np.ndarray:
+    """The blocks in which a cut at the least capacity may fall; none if that is known."""
+    high = smallest_capacity(sizes, shards)
+    low = least_reach(sizes, whole, shards, high)
+    if low == high:
+        return np.zeros(0, np.int64)
+    prefix = np.concatenate([[0], np.cumsum(sizes)])
+    earliest = reach(sizes, np.ones(len(sizes), bool), shards, low)
+    latest = reach(sizes, whole, shards, high)
+    first, last = np.searchsorted(prefix, earliest, side="right") - 1, np.searchsorted(prefix, latest, side="left")
+    touched = np.zeros(len(sizes) + 1, np.int64)
+    np.add.at(touched, np.minimum(first, len(sizes)), 1)
+    np.add.at(touched, np.clip(last, first, len(sizes)), -1)
+    return np.flatnonzero((np.cumsum(touched[:-1]) > 0) & ~whole)
+
+
+#: Blocks at the driver: first hash they may hold, bits they share, bytes, and whether they are a single group.
+KIND = [("start", np.int64), ("depth", np.int64), ("bytes", np.int64), ("whole", bool)]
+
+
+def counted(rows: DataFrame, depth: int) -> np.ndarray:
+    """Blocks of the hashes that share their first ``depth`` bits."""
+    start = F.col("hash") if depth >= 64 else F.shiftleft(F.shiftright("hash", 64 - depth), 64 - depth)
+    found = rows.groupBy(start.alias("start")).agg(F.sum("size").alias("bytes"), (F.min("hash") == F.max("hash")).alias("whole"))
+    return np.array([(r.start, depth, r.bytes, r.whole) for r in found.collect()], KIND)
+
+
+def blocks_of(rows: DataFrame, shards: int) -> np.ndarray:
+    """Blocks in order, fine enough that their minimax is the groups'. rows: hash and size."""
+    spark, blocks = rows.sparkSession, np.sort(counted(rows, CELL_BITS), order="start")
+    while len(at := to_split(blocks["bytes"], blocks["whole"], shards)):
+        finer = [np.delete(blocks, at)]
+        for depth in np.unique(blocks["depth"][at]).tolist():
+            chosen = blocks["start"][at][blocks["depth"][at] == depth].tolist()
+            named = spark.createDataFrame([(x,) for x in chosen], "first long")
+            own = rows.join(F.broadcast(named), F.shiftleft(F.shiftright("hash", 64 - depth), 64 - depth) == F.col("first"))
+            finer.append(counted(own, min(64, depth + FINER)))
+        blocks = np.sort(np.concatenate(finer), order="start")
+    return blocks
+
+
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard (null under this law) of every document."""
-    text = F.col("text").cast("string")
-    # all bits of the hash take part in a cell's order; a null text has the hash of its own that Spark gives it
-    hashed = F.xxhash64(text.isNull(), text)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    text = F.col("text")
+    rows = columns_of(docs, doc_id="long", text="string").select(
+        "doc_id",
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
-        F.shiftrightunsigned(hashed, 64 - CELL_BITS).cast("int").alias("cell"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
+        # a null text has the hash of its own that Spark gives it
+        F.xxhash64(text.isNull(), text).alias("hash"),
+        F.monotonically_increasing_id().alias("mid"),
     )
     rows = materialize(rows, "sizes")
-    counted = materialize(rows.groupBy("cell", "salt").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "cells")
-    # one row a cell: 2**CELL_BITS at most
-    cells = np.array([tuple(r) for r in counted.groupBy("cell").agg(F.sum("n"), F.sum("bytes")).orderBy("cell").collect()], np.int64).reshape(-1, 3)
-    begins = cuts(cells[:, 2], shards)
-    of = np.searchsorted(begins[1:], np.arange(len(cells)), side="right")
-    before = np.concatenate([[0], np.cumsum(cells[:, 1])])
-    first = before[:-1] - before[begins[of]] if len(cells) else before[:0]
-    placed = docs.sparkSession.createDataFrame(
-        [(int(c), int(s), int(f)) for c, s, f in zip(cells[:, 0], of, first, strict=True)], "cell int, shard int, first long"
-    )
-    # slots before those of a cell's salt
-    salts = counted.withColumn("earlier", F.coalesce(F.sum("n").over(Window.partitionBy("cell").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    salts = salts.join(F.broadcast(placed), "cell").select("cell", "salt", "shard", (F.col("first") + F.col("earlier")).alias("first"))
-    own = Window.partitionBy("cell", "salt").orderBy("doc_id", "text_crc32", "size")
-    ranked = rows.withColumn("rank", F.row_number().over(own) - 1)
-    return ranked.join(salts, ["cell", "salt"]).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first") + F.col("rank")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
+    blocks = blocks_of(rows.select("hash", "size"), shards)
+    begins = cuts(blocks["bytes"], shards)
+    # a hash's shard is the number of shards that begin at it or before, but for the first
+    firsts = [int(blocks["start"][b]) for b in begins[1:-1] if b < len(blocks)]
+    placed = rows.withColumn("shard", sum(((F.col("hash") >= x).cast("int") for x in firsts), F.lit(0)))
+    return ranked(placed, "shard").select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("rank").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
     )

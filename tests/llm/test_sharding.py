@@ -2,8 +2,10 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from braidlake.llm import sharding
 
@@ -56,9 +58,34 @@ def test_query_on_documents(documents):
     rows = sharding.shard(documents).collect()
     weight, where = check(documents, rows)
     assert all(len(s) == 1 for s in where.values())
-    assert max(weight.values()) <= sum(weight.values()) / 40 + max(r.size for r in rows)
+    assert max(weight.values()) == brute_minimax(documents, 40)
     again = sharding.shard(documents.repartition(5)).collect()
-    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+    assert sorted((r.doc_id, r.shard) for r in rows) == sorted((r.doc_id, r.shard) for r in again)
+
+
+def brute_minimax(df, shards):
+    """The least largest shard over groups of equal texts, by filling greedily at every capacity in turn."""
+    groups = df.groupBy(F.xxhash64(F.col("text").isNull(), "text").alias("h")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16).alias("n"))
+    sizes = [r.n for r in groups.orderBy("h").collect()]
+
+    def needed(capacity):
+        count, room = 1, capacity
+        for n in sizes:
+            count, room = (count, room - n) if n <= room else (count + 1, capacity - n)
+        return count
+
+    capacity = max(max(sizes), -(-sum(sizes) // shards))
+    while needed(capacity) > shards:
+        capacity += 1
+    return capacity
+
+
+@pytest.mark.parametrize("bits", [1, 4, 9])
+def test_blocks_are_refined_to_the_exact_minimax(spark, documents, monkeypatch, bits):
+    monkeypatch.setattr(sharding, "CELL_BITS", bits)
+    monkeypatch.setattr(sharding, "FINER", 2)
+    weight, _ = check(documents, sharding.shard(documents).collect())
+    assert max(weight.values()) == brute_minimax(documents, 40)
 
 
 def test_awkward_rows(awkward, empty):
