@@ -4,17 +4,20 @@ Sources, in order of code points with null last, weigh 5, 2, 1 and so on again;
 its target, but at most ``CEILING`` times its own words: the excess goes to the others by weight until none is
 above. A source's words are taken in complete epochs first. For the rest each document draws an exponential key,
 divided by its quality weight; in the order of the keys, documents are taken while their prefix sum stays
-within the budget. What is left of the budget is filled up with ``TOP_UPS`` of the documents that follow: the
-largest that fits, and last whichever brings the sum nearest to the budget.
+within the budget. Then up to ``TRIED`` documents are tried, in the order of the keys: one is taken if it still
+fits, and in the end the first whose excess over the budget is less than what would be missing.
 
-No source is sorted in one task: a histogram of the keys, ``BINS`` a source, tells in which bin the prefix sum
-passes the budget, and only that bin is sorted. Keys come from hashes of the id and the text, so that reruns and
-retried tasks agree.
+No source is sorted in one task: a histogram of the keys' logarithms, ``BINS`` to a power of two, tells in which
+bin the prefix sum passes the budget. Only that bin and those that the tried documents lie in are sorted; a bin holds a
+few in ten thousand of a source's keys, whatever the weights. Keys come from hashes of the id and the text, so that
+reruns and retried tasks agree.
 
 quality weight: the share of the text's characters that are not of ``#*$%&|<>`` nor digits, squared, at least 0.05.
 
 Defined cases: a null text has size 0 and takes nothing. A null source is a source, the last one. Documents of
-equal keys and hashes (repeated rows) are taken or left together. If all texts are empty, targets are 0. An empty table gives an empty result. Other columns are ignored by ``mix`` and kept by ``apply``.
+equal keys and hashes (repeated rows) are taken or left together, and tried as one. A very long text that doesn't fit is
+passed over. If all texts are empty, targets are 0. An empty table gives an empty result. Other columns are ignored by
+``mix`` and kept by ``apply``, whatever their names. The sources' targets are found in one task, of a row a source.
 """
 
 from __future__ import annotations
@@ -24,11 +27,15 @@ from pyspark.sql import functions as F
 
 from braidlake.runtime import materialize
 
+from .common import columns_of, rows_of, with_row
+
 WEIGHTS = (5, 2, 1)
 CEILING = 3
-BINS = 4096
-#: Documents that fill up what the prefix leaves of a budget.
-TOP_UPS = 3
+BINS = 1024
+#: Documents tried, in the order of keys, to fill up what the prefix leaves of a budget.
+TRIED = 64
+#: The bin of keys of zero.
+LOWEST = -(1 << 30)
 NOISE = "#*$%&|<>0123456789"
 
 
@@ -57,8 +64,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def binned(key: Column) -> Column:
-    """The bin of a key; bins are in the order of keys and hold about as many each."""
-    return F.least(F.floor((1 - F.exp(-key)) * BINS), F.lit(BINS - 1)).cast("int")
+    """The bin of a key; bins are in the order of keys."""
+    return F.coalesce(F.floor(F.log2(key) * BINS), F.lit(LOWEST)).cast("int")
 
 
 def targets(sources: DataFrame) -> DataFrame:
@@ -97,60 +104,46 @@ def by_source(rows: DataFrame, table: DataFrame, sources: int) -> DataFrame:
 def decisions(narrow: DataFrame) -> tuple[DataFrame, int]:
     """What is decided for each source, and the number of sources. narrow: source, _size, _key, _tie of all documents.
 
-    _source, source_size, target, epochs; the documents of the fraction are those of the bins below _bin, those of
-    _bin up to (_last_key, _last_tie), and those of _tops.
+    _source, source_size, target, epochs; the documents of the fraction are those of the bins below _bin, those
+    from it up to (_last_key, _last_tie), and those of _more.
     """
     sources = narrow.groupBy("source").agg(F.sum("_size").alias("source_size"))
     aims = targets(sources).withColumn("epochs", F.least(F.lit(CEILING), F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))).cast("long"))
     aims = materialize(aims.withColumn("budget", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size"))), "aims")
     count = aims.count()
-    rows = narrow.withColumn("_at", binned(F.col("_key")))
-    bins = rows.groupBy("source", "_at").agg(F.sum("_size").alias("words"))
-    running = F.sum("words").over(Window.partitionBy("source").orderBy("_at"))
+    rows = narrow.where("_size > 0").withColumn("_at", binned(F.col("_key")))
+    bins = rows.groupBy("source", "_at").agg(F.sum("_size").alias("words"), F.count("*").alias("docs"))
+    order = Window.partitionBy("source").orderBy("_at")
+    bins = bins.withColumns({"upto": F.sum("words").over(order), "docs_upto": F.sum("docs").over(order)})
+    budgets = aims.select(F.col("source").alias("_source"), "budget")
+    # from the bin where the sum passes the budget to the one by which as many more documents follow as are tried
+    beyond = by_source(bins, budgets, count).where("upto > budget").withColumn("edge", F.min(F.struct("_at", "upto", "words", "docs_upto")).over(Window.partitionBy("source")))
     edge = (
-        by_source(bins.withColumn("upto", running), aims.select(F.col("source").alias("_source"), "budget"), count)
-        .where("upto > budget")
+        beyond.where((F.col("_at") == F.col("edge._at")) | (F.col("docs_upto") - F.col("docs") < F.col("edge.docs_upto") + TRIED))
         .groupBy("source")
-        .agg(F.min(F.struct("_at", (F.col("budget") - F.col("upto") + F.col("words")).alias("room"))).alias("e"))
-        .select(F.col("source").alias("_source"), F.col("e._at").alias("_bin"), F.col("e.room").alias("room"))
+        .agg(F.max("_at").alias("_to"), F.first("edge").alias("edge"), F.first("budget").alias("budget"))
+        .select(F.col("source").alias("_source"), F.col("edge._at").alias("_bin"), "_to", (F.col("budget") - F.col("edge.upto") + F.col("edge.words")).alias("room"))
     )
     edge = materialize(edge, "edges")
-    prefix = F.sum("_size").over(Window.partitionBy("source").orderBy("_key", "_tie"))  # equal keys count together
-    last = (
-        by_source(rows, edge, count)
-        .where("_at = _bin")
-        .withColumn("upto", prefix)
-        .where("upto <= room")
-        .groupBy("source")
-        .agg(F.max(F.struct("_key", "_tie")).alias("k"), F.max("upto").alias("upto"))
-        .select(F.col("source").alias("_s"), F.col("k._key").alias("_last_key"), F.col("k._tie").alias("_last_tie"), "upto")
-    )
-    edge = edge.join(last, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    edge = materialize(edge.withColumn("gap", F.col("room") - F.coalesce("upto", F.lit(0))), "edges")
-    edge = edge.withColumn("_tops", F.expr("cast(array() as array<struct<_key: double, _tie: bigint>>)"))
-    for step in range(TOP_UPS):
-        # the largest that still fits, and last whichever comes nearest
-        fits = F.col("words") <= F.col("gap") if step < TOP_UPS - 1 else F.abs(F.col("words") - F.col("gap")) < F.col("gap")
-        top = (
-            by_source(rows, edge, count)
-            .where(~of_prefix() & ~of_tops() & (F.col("_size") > 0) & (F.col("_size") < 2 * F.col("gap")))
-            .groupBy("source", "_key", "_tie", "gap")
-            .agg(F.sum("_size").alias("words"))
-            .where(fits)
-            .groupBy("source")
-            .agg(F.min(F.struct(F.abs(F.col("words") - F.col("gap")).alias("off"), "_key", "_tie", "words")).alias("t"))
-            .select(F.col("source").alias("_s"), F.array(F.struct("t._key", "t._tie")).alias("more"), F.col("t.words").alias("words"))
-        )
-        edge = edge.join(top, F.col("_source").eqNullSafe(F.col("_s")), "left").select(
-            "_source", "_bin", "_last_key", "_last_tie",
-            (F.col("gap") - F.coalesce("words", F.lit(0))).alias("gap"),
-            F.when(F.col("more").isNull(), F.col("_tops")).otherwise(F.concat("_tops", "more")).alias("_tops"),
-        )
-        edge = materialize(edge, "edges")
+    # equal keys, as repeated rows have them, are one row from here on
+    near = by_source(rows, edge, count).where("_at >= _bin AND _at <= _to").groupBy("source", "_key", "_tie", "room").agg(F.sum("_size").alias("words"))
+    keys = Window.partitionBy("source").orderBy("_key", "_tie")
+    near = materialize(near.withColumn("upto", F.sum("words").over(keys)), "near")
+    last = near.where("upto <= room").groupBy("source").agg(F.max(F.struct("_key", "_tie")).alias("k"), F.max("upto").alias("upto"))
+    tried = near.where("upto > room").withColumn("n", F.row_number().over(keys)).where(F.col("n") <= TRIED)
+    tried = tried.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("_key", "_tie", "words"))).alias("tried"), F.first("room").alias("room"))
+    filled = last.select(F.col("source").alias("_l"), "k", "upto").join(tried, F.col("_l").eqNullSafe(F.col("source")), "full_outer")
+    filled = filled.select(F.coalesce("source", "_l").alias("_f"), "k", "tried", (F.col("room") - F.coalesce("upto", F.lit(0))).alias("gap"))
+    none = "cast(array() as array<struct<_key: double, _tie: bigint, words: bigint>>)"
+    filled = filled.withColumn("fit", F.expr(f"aggregate(coalesce(tried, {none}), struct(cast(gap as double) as gap, {none} as more), (s, x) -> if(x.words <= s.gap, struct(s.gap - x.words as gap, concat(s.more, array(x)) as more), s))"))
+    # what still fits is taken, so any other of the tried exceeds the gap
+    over = F.expr("filter(tried, x -> x.words < 2 * fit.gap and not array_contains(fit.more, x))")
+    filled = filled.select("_f", F.col("k._key").alias("_last_key"), F.col("k._tie").alias("_last_tie"), F.concat("fit.more", F.coalesce(F.slice(over, 1, 1), F.expr(none))).alias("_more"))
     settled = (
         aims.select(F.col("source").alias("_source"), "source_size", "target", "epochs")
-        .join(edge.withColumnRenamed("_source", "_e"), F.col("_source").eqNullSafe(F.col("_e")), "left")
-        .select("_source", "source_size", "target", "epochs", "_bin", "_last_key", "_last_tie", "_tops")
+        .join(edge.select(F.col("_source").alias("_e"), "_bin"), F.col("_source").eqNullSafe(F.col("_e")), "left")
+        .join(filled, F.col("_source").eqNullSafe(F.col("_f")), "left")
+        .select("_source", "source_size", "target", "epochs", "_bin", "_last_key", "_last_tie", "_more")
     )
     return materialize(settled, "mix"), count
 
@@ -158,23 +151,22 @@ def decisions(narrow: DataFrame) -> tuple[DataFrame, int]:
 def of_prefix() -> Column:
     """Whether a document's key is among those taken in order."""
     upto = (F.col("_key") < F.col("_last_key")) | ((F.col("_key") == F.col("_last_key")) & (F.col("_tie") <= F.col("_last_tie")))
-    return F.coalesce((F.col("_at") < F.col("_bin")) | ((F.col("_at") == F.col("_bin")) & upto), F.lit(False))
+    return F.coalesce((F.col("_at") < F.col("_bin")) | upto, F.lit(False))
 
 
-def of_tops() -> Column:
+def tried_and_taken() -> Column:
     """Whether a document is one of those taken to fill the budget up."""
-    return F.coalesce(F.exists("_tops", lambda t: (t["_key"] == F.col("_key")) & (t["_tie"] == F.col("_tie"))), F.lit(False))
+    return F.coalesce(F.exists("_more", lambda t: (t["_key"] == F.col("_key")) & (t["_tie"] == F.col("_tie"))), F.lit(False))
 
 
 def times() -> Column:
     """How often a document is taken, given its key and its source's decisions."""
-    return F.col("epochs") + F.when(of_prefix() | of_tops(), 1).otherwise(0)
+    return F.col("epochs") + F.when((F.col("_size") > 0) & (of_prefix() | tried_and_taken()), 1).otherwise(0)
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, source_size, target and taken (words, repeats counted) of every document."""
-    few = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    narrow = materialize(keyed(few).select("doc_id", "source", "_size", "_key", "_tie"), "keys")
+    narrow = materialize(keyed(columns_of(docs, doc_id="long", source="string", text="string")).select("doc_id", "source", "_size", "_key", "_tie"), "keys")
     settled, count = decisions(narrow)
     rows = by_source(narrow.withColumn("_at", binned(F.col("_key"))), settled, count)
     return rows.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * times()).alias("taken"))
@@ -182,9 +174,8 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def apply(docs: DataFrame) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it, with all its columns."""
-    few = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
-    narrow = materialize(keyed(few).select("source", "_size", "_key", "_tie"), "keys")
+    narrow = materialize(keyed(columns_of(docs, doc_id="long", source="string", text="string")).select("source", "_size", "_key", "_tie"), "keys")
     settled, count = decisions(narrow)
-    named = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
+    named = with_row(docs, doc_id="long", source="string", text="string")
     rows = by_source(keyed(named).withColumn("_at", binned(F.col("_key"))), settled, count)
-    return rows.select("_row", F.explode(F.array_repeat(F.lit(0), times().cast("int")))).select("_row.*")
+    return rows_of(rows.select("_row", F.explode(F.array_repeat(F.lit(0), times().cast("int")))), docs)

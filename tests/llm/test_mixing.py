@@ -1,5 +1,8 @@
 from collections import defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from braidlake.llm import mixing
 
 from .conftest import brute_words
@@ -37,6 +40,46 @@ def check(df, rows, near):
         assert abs(taken[s] - targets[s]) <= near * targets[s] + 60, (s, taken[s], targets[s])
 
 
+def brute_taken(df):
+    """Words taken of each row (doc_id, source), document by document in the order of keys."""
+    rows = mixing.keyed(df.select("doc_id", "source", "text")).select("doc_id", "source", "_size", "_key", "_tie").collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.source] += r._size
+    out = []
+    for source, target in brute_targets(sizes).items():
+        own = [r for r in rows if r.source == source]
+        epochs = min(3, int(target / sizes[source])) if sizes[source] else 0
+        gap, at, taken = target - epochs * sizes[source], 0, set()
+        keys = sorted({(r._key, r._tie) for r in own if r._size})
+        words = {k: sum(r._size for r in own if (r._key, r._tie) == k) for k in keys}
+        while at < len(keys) and words[keys[at]] <= gap:
+            gap -= words[keys[at]]
+            taken.add(keys[at])
+            at += 1
+        tried = keys[at : at + mixing.TRIED]
+        for k in tried:
+            if words[k] <= gap:
+                gap -= words[k]
+                taken.add(k)
+        taken |= set([k for k in tried if k not in taken and words[k] < 2 * gap][:1])
+        out += [(r.doc_id, r.source, r._size * (epochs + ((r._key, r._tie) in taken))) for r in own]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("which", ["documents", "awkward"])
+def test_which_documents_are_taken(request, which):
+    df = request.getfixturevalue(which)
+    got = sorted(((r.doc_id, r.source, r.taken) for r in mixing.mix(df).collect()), key=repr)
+    assert got == brute_taken(df)
+
+
+def test_bins_follow_the_weighted_keys(spark):
+    df = spark.range(20_000).selectExpr("id AS doc_id", "'s' AS source", "'12 345 6789' AS text")
+    most = mixing.keyed(df).groupBy(mixing.binned(F.col("_key")).alias("b")).count().agg(F.max("count")).first()[0]
+    assert most < 50
+
+
 def test_targets_and_epochs(spark):
     data = [(i, "w " * (1 + i % 9), f"s{min(i // 7, 6)}") for i in range(300)]
     df = spark.createDataFrame(data, "doc_id long, text string, source string")
