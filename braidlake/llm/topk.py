@@ -6,16 +6,16 @@ Within a block, vectors rotated by an SVD put most of the inner product into the
 sum plus the product of the residual norms bounds the score, and only pairs that pass are computed in full, in
 integers. Bounds have slack for rounding, so no pair is lost.
 
-Queries and candidates meet block by block: each block of queries is sent once to every group of candidate blocks
-that it may need, and a task streams the group's blocks past it, the longest vectors first. Where a first
-threshold comes from, the ``HEAD`` longest vectors, and the rotation, from at most ``SAMPLE`` vectors, is bounded;
-neither changes a result.
+Queries and candidates meet in groups of candidate blocks: each candidate block is sent once, to its group's task,
+which holds the group (about ``RESIDENT`` bytes, so that the number of groups grows with the table) while the blocks
+of queries that may need it stream past, each meeting the longest vectors first. Where a first threshold comes from,
+the ``HEAD`` longest vectors, and the rotation, from at most ``SAMPLE`` vectors, is bounded; neither changes a result.
 
 Defined cases: vectors or ids that are null, and vectors with null or non-finite components, take no part. Shorter
 vectors count as ending in zeros. All rows with a query's own vec_id count as its own and aren't its candidates;
 repeated rows of other ids are candidates each. If a query id repeats, its smallest vector (as bytes) is asked.
-Scores beyond 64 bits are clipped to them. Tables with no other row, or none at all, give no row. Columns other
-than vec_id and embedding are ignored.
+Equal scores are ranked by vec_id, in and between groups. Scores beyond 64 bits are clipped to them. Tables with no other row, or none at all, give no row. Columns other
+than vec_id and embedding are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from braidlake.runtime import map_arrow, materialize
 
-from .common import RANGE
+from .common import RANGE, columns_of
 
 SCALE = 256
 K = 5
@@ -39,6 +39,8 @@ BLOCK = 2048
 QUERY_BLOCK = 1024
 HEAD = 2048
 SAMPLE = 2048
+#: Bytes of vectors that a task holds, as they are and rotated.
+RESIDENT = 128 << 20
 #: Coordinates in the partial sums, as a share of all.
 PARTIAL = 0.25
 #: Largest sum of products that doubles hold exactly.
@@ -72,7 +74,7 @@ def prepared(table: DataFrame, dims: int) -> DataFrame:
                     vecs.append(whole.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(norms, pa.float64()), pa.array(vecs, pa.binary())], names=["vec_id", "norm", "vec"])
 
-    return map_arrow(table.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")), run, PREPARED)
+    return map_arrow(table.select("vec_id", "embedding"), run, PREPARED)
 
 
 def matrix(vecs: list[bytes] | bytes, dims: int) -> np.ndarray:
@@ -130,20 +132,20 @@ class Search:
     """The best candidates so far of a block of queries."""
 
     def __init__(self, ids: np.ndarray, norms: np.ndarray, vecs: np.ndarray, floors: np.ndarray, turn: np.ndarray, k: int):
-        self.ids, self.norms, self.vecs, self.floors, self.turn, self.k = ids, norms, vecs, floors, turn, k
+        self.ids, self.norms, self.vecs, self.k = ids, norms, vecs, k
         self.first = max(1, int(round(PARTIAL * vecs.shape[1]))) if vecs.shape[1] else 0
         self.turned = vecs @ turn
         self.rest = np.linalg.norm(self.turned[:, self.first :], axis=1)
         self.best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(ids)
         self.least = floors.copy()
 
-    def see(self, ids: np.ndarray, norms: np.ndarray, vecs: np.ndarray) -> None:
+    def see(self, ids: np.ndarray, norms: np.ndarray, vecs: np.ndarray, turned: np.ndarray) -> None:
+        """Meet a block of candidates; turned: its vectors rotated."""
         slack = 1 + 1e-9
         least = self.least.astype(np.float64)
         alive = np.flatnonzero(self.norms * norms.max() * slack + 1 >= least)
         if not len(alive):
             return
-        turned = vecs @ self.turn
         rest = np.linalg.norm(turned[:, self.first :], axis=1)
         bound = self.turned[alive, : self.first] @ turned[:, : self.first].T + np.outer(self.rest[alive], rest)
         bound += 1e-9 * np.outer(self.norms[alive], norms) + 1
@@ -167,13 +169,13 @@ class Search:
 
 def search(table: DataFrame, is_query: Column | None = None, k: int = K, groups: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's k best. is_query: by default ids divisible by 50."""
-    spark = table.sparkSession
+    spark, table = table.sparkSession, columns_of(table, vec_id="long", embedding="array<double>")
     is_query = F.col("vec_id") % EVERY == 0 if is_query is None else is_query
     dims = table.agg(F.max(F.size("embedding"))).first()[0]
     dims = max(0, dims or 0)
     rows = materialize(prepared(table, dims), "vectors")
     total = rows.count()
-    groups = groups or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK)))
+    groups = groups or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK)), -(-total * 16 * dims // RESIDENT))
     # vec_id takes part in the order, so that equal norms spread over several groups
     candidates = materialize(blocks(rows.repartitionByRange(groups, F.desc("norm"), "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id"), BLOCK), "blocks")
     # one number a group: how many there are is set above
@@ -199,6 +201,7 @@ def search(table: DataFrame, is_query: Column | None = None, k: int = K, groups:
     asked = materialize(map_arrow(asked, floors, PREPARED + ", floor long"), "queries")
     n_asked = asked.count()
     queries = materialize(blocks(asked.repartition(max(1, -(-n_asked // QUERY_BLOCK)), F.xxhash64("vec_id")), QUERY_BLOCK), "query-blocks")
+
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
@@ -211,32 +214,36 @@ def search(table: DataFrame, is_query: Column | None = None, k: int = K, groups:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32()) for x in out], names=["q_part", "q_ordinal", "group"])
 
     pairs = materialize(map_arrow(queries.select("part", "ordinal", "norms", "floors"), needed, "q_part int, q_ordinal int, group int"), "pairs")
-    payload = ["ids", "norms", "vecs", "floors"]
-    left = pairs.join(queries, (F.col("q_part") == F.col("part")) & (F.col("q_ordinal") == F.col("ordinal"))).select("q_part", "q_ordinal", "group", F.lit(-1).alias("at"), *payload)
-    right = pairs.join(candidates, F.col("group") == F.col("part")).select("q_part", "q_ordinal", "group", F.col("ordinal").alias("at"), *payload)
+    key = ["group"]
+    met = shipped(pairs, queries, candidates).repartition(groups, *key).sortWithinPartitions(*key, "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: Search | None = None
-
-        def out() -> pa.RecordBatch:
-            found = [(q, v, s) for q, (ss, vs) in zip(state.ids.tolist(), state.best, strict=True) for s, v in zip(ss.tolist(), vs.tolist(), strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
-
+        group, held = None, []
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, norms, vecs, least = (batch.column(i)[row].as_py() for i in range(4, 8))
+                own, at = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                if own != group:
+                    group, held = own, []
+                ids, norms, vecs, least = (batch.column(i)[row].as_py() for i in range(2, 6))
                 ids, norms = np.frombuffer(ids, np.int64), np.frombuffer(norms)
                 vecs = matrix(vecs, dims) if dims else np.zeros((len(ids), 0))
-                if batch.column(3)[row].as_py() < 0:
-                    if state:
-                        yield out()
-                    state = Search(ids, norms, vecs, np.frombuffer(least, np.int64), turn, k)
-                else:
-                    state.see(ids, norms, vecs)
-        if state:
-            yield out()
-
-    key = ["q_part", "q_ordinal", "group"]
-    met = left.unionByName(right).repartition(*key).sortWithinPartitions(*key, "at")
+                if at < 0:
+                    held.append((ids, norms, vecs, vecs @ turn))
+                    continue
+                state = Search(ids, norms, vecs, np.frombuffer(least, np.int64), turn, k)
+                for block in held:
+                    state.see(*block)
+                found = [(q, v, s) for q, (ss, vs) in zip(state.ids.tolist(), state.best, strict=True) for s, v in zip(ss.tolist(), vs.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
+
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return map_arrow(met, run, FOUND).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def shipped(pairs: DataFrame, queries: DataFrame, candidates: DataFrame) -> DataFrame:
+    """What is sent to each group: its candidate blocks, once (at below 0, the longest vectors first), and the blocks of queries that need it."""
+    payload = ["ids", "norms", "vecs", "floors"]
+    asked = pairs.join(queries, (F.col("q_part") == F.col("part")) & (F.col("q_ordinal") == F.col("ordinal"))).select("group", F.lit(0).alias("at"), *payload)
+    needed = pairs.select("group").distinct()
+    held = candidates.join(needed, F.col("group") == F.col("part")).select("group", (F.col("ordinal") - (1 << 30)).alias("at"), *payload)
+    return held.unionByName(asked)

@@ -53,6 +53,20 @@ def test_many_blocks(spark, monkeypatch):
     assert run(spark, rows, groups=4) == brute(rows)
 
 
+def test_candidate_blocks_are_sent_once(spark, monkeypatch):
+    rng, sent = np.random.default_rng(4), []
+    monkeypatch.setattr(topk, "BLOCK", 32)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    whole = topk.shipped
+    monkeypatch.setattr(topk, "shipped", lambda *parts: sent.append((parts, whole(*parts))) or sent[0][1])
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(1000, 6)))]
+    assert run(spark, rows, groups=4) == brute(rows)
+    (pairs, queries, candidates), df = sent[0]
+    assert queries.count() >= 10
+    needed = {r.group for r in pairs.select("group").distinct().collect()}
+    assert df.where("at < 0").count() == candidates.where(candidates["part"].isin(needed)).count() == df.where("at < 0").select("group", "at").distinct().count()
+
+
 def test_query_against_brute_force(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     assert sorted(map(tuple, topk.search(df).collect())) == brute([(r.vec_id, r.embedding) for r in df.collect()])
