@@ -162,13 +162,12 @@ def bigrams(paths: DataFrame, item: str = "edges") -> DataFrame:
 def line_lengths(branches: DataFrame) -> DataFrame:
     """Length of each line: over its cells, the sum of the median branch. branches: line, cell, length.
 
-    Of an even number of branches the median is the integer mean of the middle two.
+    Of an even number of branches the median is the longer of the middle two.
     """
     ranked = branches.withColumns(
         {"r": F.row_number().over(Window.partitionBy("line", "cell").orderBy("length")), "n": F.count("*").over(Window.partitionBy("line", "cell"))}
     )
-    middle = ranked.where("r in ((n + 1) div 2, n div 2 + 1)").groupBy("line", "cell").agg(F.expr("sum(length) div count(*)").alias("m"))
-    return middle.groupBy("line").agg(F.sum("m").alias("length"))
+    return ranked.where("r = n div 2 + 1").groupBy("line").agg(F.sum("length").alias("length"))
 
 
 def copy_numbers(spans: DataFrame, lines: DataFrame, least: int = 1000, most: int = 100_000, factor: float = 1.1) -> DataFrame:

@@ -25,13 +25,13 @@ def negative(tie: Column) -> Column:
 def predup(pairs: DataFrame, bases: int = 40) -> DataFrame:
     """Of pairs with one barcode and the same first bases of both mates, the one of highest total quality.
 
-    pairs: pair_id, barcode, seq1, seq2, quals1, quals2. Pairs without a barcode (0) all stay. Ties: the smallest
+    pairs: pair_id, barcode, seq1, seq2, quals1, quals2. Pairs without a barcode (null, 0 or below) all stay. Ties: the smallest
     pair_id.
     """
     total = F.aggregate(F.concat("quals1", "quals2"), F.lit(0).cast("long"), lambda s, q: s + q)
     coded = pairs.where("barcode > 0")
     kept = best_of(coded, ["barcode", F.substring("seq1", 1, bases).alias("_s1"), F.substring("seq2", 1, bases).alias("_s2")], total, F.col("pair_id"))
-    return kept.unionByName(pairs.where("barcode = 0"))
+    return kept.unionByName(pairs.where("barcode is null or barcode <= 0"))
 
 
 ALIGNMENT_KEY = ("barcode", "is_read1", "is_reverse", "tid", "pos", "mate_tid", "mate_pos")

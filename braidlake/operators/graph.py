@@ -75,18 +75,20 @@ def distances(edges: DataFrame, start: DataFrame, length: str | None = None, mos
     raise RuntimeError("distances did not settle")
 
 
-def is_cyclic(edges: DataFrame, most: int = 200) -> bool:
-    """Whether some walk comes back: nodes without a way in are peeled off until none is left to peel."""
+def is_cyclic(edges: DataFrame) -> bool:
+    """Whether some walk comes back: nodes without a way in, or out, are peeled off until none is left to peel.
+
+    There are half as many rounds as the longest path of peeled nodes has, however long that is.
+    """
     rest = materialize(edges.select("a", "b"), "edges")
     count = rest.count()
-    for _ in range(most):
-        if count == 0:
-            return False
-        rest = materialize(rest.join(rest.select(F.col("b").alias("a")).distinct(), "a", "left_semi"), "edges")
+    while count:
+        left = rest.join(rest.select(F.col("b").alias("a")).distinct(), "a", "left_semi").join(rest.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
+        rest = materialize(left.select("a", "b"), "edges")
         before, count = count, rest.count()
         if count == before:
             return True
-    return True
+    return False
 
 
 def strong_components(edges: DataFrame) -> DataFrame:

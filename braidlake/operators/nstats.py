@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def histogram(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -48,7 +49,11 @@ def n_levels(df: DataFrame, value: str, by: Sequence[str] = (), levels: Sequence
 
 
 def n_linear(df: DataFrame, value: str, fraction: float = 0.5, by: Sequence[str] = (), name: str = "n50pl") -> DataFrame:
-    """N50 on the line through the points (share of the sum up to a value, value), instead of the steps."""
+    """N50 on the line through the points (share of the sum up to an element, element), instead of the steps.
+
+    Equal values are elements of their own, so between two of them the line is flat; before the first it comes from 0.
+    Of integers the result is one, cut off. Values are positive.
+    """
     ascending = Window.partitionBy(*_groups(by)).orderBy("v")
     whole = Window.partitionBy(*_groups(by))
     rows = histogram(df, value, by).withColumns(
@@ -56,7 +61,12 @@ def n_linear(df: DataFrame, value: str, fraction: float = 0.5, by: Sequence[str]
     )
     goal = F.col("total") * fraction
     before = F.col("upto") - F.col("v") * F.col("c")
-    at = F.coalesce("last", F.col("v")) + (F.col("v") - F.coalesce("last", F.col("v"))) * (goal - before) / (F.col("upto") - before)
+    element = F.greatest(F.lit(0), F.ceil((goal - before) / F.col("v")) - 1)
+    low = F.when(element > 0, F.col("v")).otherwise(F.coalesce("last", F.lit(0)))
+    share = (goal - before - element * F.col("v")) / F.col("v")
+    at = (1 - share) * low + share * F.col("v")
+    if isinstance(df.schema[value].dataType, T.IntegralType):
+        at = at.cast("long")
     return rows.where(F.col("upto") >= goal).groupBy(*by).agg(F.min_by(at, "v").alias(name))
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from braidlake.runtime import map_arrow
+
 
 def sort_permutation(df: DataFrame, *order: str, by: Sequence[str] = (), name: str = "place") -> DataFrame:
     """The place (from 0) that each row takes when its group is sorted."""
@@ -46,17 +49,38 @@ def barcode_order(reads: DataFrame, barcode: str = "barcode") -> DataFrame:
     )
 
 
-def balanced_buckets(lines: DataFrame, size: int = 1_000_000, length: str = "length", name: str = "line") -> DataFrame:
-    """Lines from long to short in buckets of about equal content: the content before a line over the bucket's size.
+def balanced_buckets(lines: DataFrame, size: int = 1_000_000, length: str = "length", name: str = "line", least: int = 0) -> DataFrame:
+    """Lines from long to short, ties by name, in buckets that are closed once their content reaches ``size``.
 
-    Prefix sums are made per length first, so what one window orders is a row for each distinct length.
+    Lines shorter than ``least`` go into none and have no row. Only a histogram of the lengths is walked in order, in
+    one task: of each length so many lines complete the open bucket, and then every bucket takes as many.
     """
-    per = lines.groupBy(F.col(length).alias("_len")).agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum(F.col("_len") * F.col("_n")).over(Window.orderBy(F.desc("_len")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = per.withColumn("_before", before).drop("_n")
+    kept = lines.where(F.col(length) >= least)
+    per = kept.groupBy(F.col(length).cast("long").alias("_len")).agg(F.count("*").alias("_n"))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, filled = 0, 0  # the open bucket and its content
+        for batch in batches:
+            out = []
+            for at, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                # lines without length never complete a bucket
+                each = -(-size // at) if at > 0 else n + 1
+                room = -(-(size - filled) // at) if at > 0 else n + 1
+                out.append((at, bucket, room, each))
+                rest = n - room
+                if rest < 0:
+                    filled += n * at
+                else:
+                    whole, left = divmod(rest, each)
+                    bucket, filled = bucket + 1 + whole, left * at
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(4)], names=["_len", "_open", "_room", "_each"])
+
+    ordered = per.repartition(1).sortWithinPartitions(F.desc("_len"))
+    marked = map_arrow(ordered, walk, "_len long, _open long, _room long, _each long")
     rank = F.row_number().over(Window.partitionBy(length).orderBy(name)) - 1
-    placed = lines.withColumn("_rank", rank).join(marked, F.col(length) == F.col("_len"))
-    return placed.withColumn("bucket", F.floor((F.col("_before") + F.col("_rank") * F.col("_len")) / size)).drop("_rank", "_len", "_before")
+    placed = kept.withColumn("_rank", rank).join(marked, F.col(length).cast("long") == F.col("_len"))
+    later = F.col("_open") + 1 + F.floor((F.col("_rank") - F.col("_room")) / F.col("_each"))
+    return placed.withColumn("bucket", F.when(F.col("_rank") < F.col("_room"), F.col("_open")).otherwise(later).cast("long")).drop("_rank", "_len", "_open", "_room", "_each")
 
 
 def top(rows: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

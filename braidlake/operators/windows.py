@@ -26,14 +26,15 @@ def molecules(reads: DataFrame, lines: DataFrame, gap: int = 60_000, least: int
     """Molecules inferred from reads of one barcode near each other on a line.
 
     reads: line, barcode, pos, pair_id. lines: line, length. A step above ``gap`` starts a new molecule. With n
-    distinct pairs (after the first read's own) and n at least ``least``, its length is (n + 1) / (n - 1) times
-    its span; kept if that exceeds ``shortest`` and it lies farther than ``gap`` from both ends of the line.
+    distinct pairs besides the first read's own, and n at least ``least``, its length is (n + 1) / (n - 1) times
+    its span, cut to an integer; kept if that and the line exceed ``shortest`` and it lies farther than ``gap`` from
+    both ends of the line.
     """
     numbered = sessions(reads, ["line", "barcode"], F.col("pos"), gap, "pair_id")
-    per = numbered.groupBy("line", "barcode", "session").agg(F.count_distinct("pair_id").alias("pairs"), F.min("pos").alias("start"), F.max("pos").alias("stop"))
-    sized = per.where(F.col("pairs") >= least).withColumn("length", (F.col("pairs") + 1) / (F.col("pairs") - 1) * (F.col("stop") - F.col("start")))
+    per = numbered.groupBy("line", "barcode", "session").agg((F.count_distinct("pair_id") - 1).alias("pairs"), F.min("pos").alias("start"), F.max("pos").alias("stop"))
+    sized = per.where(F.col("pairs") >= least).withColumn("length", F.floor((F.col("pairs") + 1) / (F.col("pairs") - 1) * (F.col("stop") - F.col("start"))))
     named = lines.select("line", F.col("length").alias("_line"))
-    return sized.join(named, "line").where((F.col("length") > shortest) & (F.col("start") > gap) & (F.col("_line") - F.col("stop") > gap)).drop("_line")
+    return sized.join(named, "line").where((F.col("length") > shortest) & (F.col("_line") > shortest) & (F.col("start") > gap) & (F.col("_line") - F.col("stop") > gap)).drop("_line")
 
 
 def territories(reads: DataFrame, gap: int = 100_000, least: int = 3, reach: int = 25_000) -> DataFrame:

@@ -66,12 +66,14 @@ def n_levels_by_flag(spark, sf_dir):
 
 
 @query(
-    f"""WITH {QUANTITIES}, w AS (SELECT g, v, c, sum(v * c) OVER (PARTITION BY g ORDER BY v) AS upto, coalesce(lag(v) OVER (PARTITION BY g ORDER BY v), v) AS last,
-    sum(v * c) OVER (PARTITION BY g) AS total FROM h)
-    SELECT g, round(arg_min(last + (v - last) * (total * 0.5 - (upto - v * c)) / (v * c), v), 6) AS n50pl FROM w WHERE upto >= total * 0.5 GROUP BY g"""
+    f"""WITH {QUANTITIES}, w AS (SELECT g, v, c, sum(v * c) OVER (PARTITION BY g ORDER BY v) AS upto, coalesce(lag(v) OVER (PARTITION BY g ORDER BY v), 0) AS last,
+    sum(v * c) OVER (PARTITION BY g) AS total FROM h),
+    e AS (SELECT *, greatest(0, ceil((total / 2 - (upto - v * c)) / v) - 1) AS element FROM w WHERE 2 * upto >= total),
+    s AS (SELECT g, v, CASE WHEN element > 0 THEN v ELSE last END AS low, (total / 2 - (upto - v * c) - element * v) / v AS share FROM e)
+    SELECT g, CAST(arg_min(trunc((1 - share) * low + share * v), v) AS BIGINT) AS n50pl FROM s GROUP BY g"""
 )
 def n50_linear_by_flag(spark, sf_dir):
-    return nstats.n_linear(quantities(spark, sf_dir), "v0", 0.5, ["g"]).withColumn("n50pl", F.round("n50pl", 6))
+    return nstats.n_linear(quantities(spark, sf_dir), "v0", 0.5, ["g"])
 
 
 @query("SELECT l_returnflag, round(sum(l_extendedprice * l_extendedprice) / sum(l_extendedprice), 4) AS weighted_mean FROM lineitem GROUP BY 1")
@@ -247,7 +249,7 @@ def edge_bigrams(spark, sf_dir):
 @query(
     """WITH b AS (SELECT l_suppkey AS line, l_linenumber AS cell, CAST(l_quantity AS BIGINT) AS length FROM lineitem),
     r AS (SELECT line, cell, length, row_number() OVER (PARTITION BY line, cell ORDER BY length) AS r, count(*) OVER (PARTITION BY line, cell) AS n FROM b),
-    m AS (SELECT line, cell, CAST(sum(length) AS BIGINT) // count(*) AS m FROM r WHERE r IN ((n + 1) // 2, n // 2 + 1) GROUP BY 1, 2) SELECT line, CAST(sum(m) AS BIGINT) AS length FROM m GROUP BY 1"""
+    m AS (SELECT line, length AS m FROM r WHERE r = n // 2 + 1) SELECT line, CAST(sum(m) AS BIGINT) AS length FROM m GROUP BY 1"""
 )
 def line_lengths(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("line"), F.col("l_linenumber").alias("cell"), F.col("l_quantity").cast("long").alias("length"))
@@ -329,7 +331,7 @@ def merged_histograms(spark, sf_dir):
 
 @query(
     f"""WITH {I.READS_OF_ORDERS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY barcode, seq1, seq2 ORDER BY quals1[1] + quals2[1] DESC, pair_id) AS r FROM pairs)
-    SELECT pair_id, barcode, seq1, seq2 FROM r WHERE r = 1 OR barcode = 0"""
+    SELECT pair_id, barcode, seq1, seq2 FROM r WHERE r = 1 OR barcode IS NULL OR barcode <= 0"""
 )
 def predup_best(spark, sf_dir):
     return dedup.predup(I.pairs(spark, sf_dir)).select("pair_id", "barcode", "seq1", "seq2")
@@ -562,14 +564,14 @@ def molecule_sessions(spark, sf_dir):
 @query(
     f"""WITH {I.POINTS_SQL}, lines AS (SELECT line, max(pos) + 60000 AS length FROM points GROUP BY 1), s AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY line, barcode ORDER BY pos, pair_id) > 20000 THEN 1 ELSE 0 END AS n FROM points),
     t AS (SELECT *, sum(n) OVER (PARTITION BY line, barcode ORDER BY pos, pair_id ROWS UNBOUNDED PRECEDING) AS session FROM s),
-    m AS (SELECT line, barcode, CAST(session AS BIGINT) AS session, count(DISTINCT pair_id) AS pairs, min(pos) AS start, max(pos) AS stop FROM t GROUP BY 1, 2, 3 HAVING count(DISTINCT pair_id) >= 4)
-    SELECT line, barcode, session, pairs, start, stop, round((pairs + 1) / (pairs - 1) * (stop - start), 6) AS length FROM m JOIN lines USING (line)
-    WHERE (pairs + 1) / (pairs - 1) * (stop - start) > 1000 AND start > 20000 AND lines.length - stop > 20000"""
+    m AS (SELECT line, barcode, CAST(session AS BIGINT) AS session, count(DISTINCT pair_id) - 1 AS pairs, min(pos) AS start, max(pos) AS stop FROM t GROUP BY 1, 2, 3 HAVING count(DISTINCT pair_id) >= 5)
+    SELECT line, barcode, session, pairs, start, stop, CAST(floor((pairs + 1) / (pairs - 1) * (stop - start)) AS BIGINT) AS length FROM m JOIN lines USING (line)
+    WHERE floor((pairs + 1) / (pairs - 1) * (stop - start)) > 1000 AND lines.length > 1000 AND start > 20000 AND lines.length - stop > 20000"""
 )
 def molecules(spark, sf_dir):
     points = I.points(spark, sf_dir)
     ends = points.groupBy("line").agg((F.max("pos") + 60_000).alias("length"))
-    return windows.molecules(points, ends, 20_000).withColumn("length", F.round("length", 6))
+    return windows.molecules(points, ends, 20_000)
 
 
 @query(
@@ -660,8 +662,11 @@ def range_buckets(spark, sf_dir):
 
 
 @query(
-    """WITH l AS (SELECT o_orderkey AS line, CAST(floor(o_totalprice) AS BIGINT) AS length FROM orders), w AS (SELECT line, length, sum(length) OVER (ORDER BY length DESC, line ROWS UNBOUNDED PRECEDING) - length AS before FROM l)
-    SELECT line, length, CAST(before // 1000000 AS BIGINT) AS bucket FROM w"""
+    """WITH RECURSIVE l AS (SELECT o_orderkey AS line, CAST(floor(o_totalprice) AS BIGINT) AS length FROM orders),
+    w AS (SELECT line, length, row_number() OVER o AS n, CAST(sum(length) OVER o AS BIGINT) - length AS before FROM l WINDOW o AS (ORDER BY length DESC, line ROWS UNBOUNDED PRECEDING)),
+    b AS (SELECT CAST(0 AS BIGINT) AS bucket, CAST(1 AS BIGINT) AS n, CAST(0 AS BIGINT) AS before
+      UNION ALL SELECT b.bucket + 1, min(w.n), min(w.before) FROM b JOIN w ON w.before >= b.before + 1000000 GROUP BY b.bucket)
+    SELECT line, length, bucket FROM w ASOF JOIN b ON w.n >= b.n"""
 )
 def balanced_buckets(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("line"), F.floor("o_totalprice").alias("length"))
@@ -752,22 +757,29 @@ def reverse_complements(spark, sf_dir):
 
 
 @query(
-    f"""WITH {I.READS_SQL}, k AS (SELECT read_id, translate(substr(seq, 1, 21), 'N', 'A') AS k FROM reads WHERE length(seq) >= 21)
-    SELECT read_id, least(k, reverse(translate(k, 'ACGT', 'TGCA'))) AS canonical, k >= reverse(translate(k, 'ACGT', 'TGCA')) AS is_rev,
-    CAST(list_sum(list_transform(range(1, 22), lambda i: CAST(translate(substr(k, i, 1), 'ACTG', '0123') AS BIGINT) << (2 * (21 - i)))) AS BIGINT) AS code, substr(k, 2) || 'C' AS next, 'G' || substr(k, 1, 20) AS previous FROM k"""
+    f"""WITH {I.READS_SQL}, w AS (SELECT read_id, translate(seq, 'N', 'A') AS seq, unnest(range(1, length(seq) - 19)) AS i FROM reads WHERE length(seq) >= 21), k AS (SELECT read_id, substr(seq, i, 21) AS k FROM w),
+    c AS (SELECT read_id, least(k, reverse(translate(k, 'ACGT', 'TGCA'))) AS canonical, k >= reverse(translate(k, 'ACGT', 'TGCA')) AS is_rev,
+    CAST(list_sum(list_transform(range(1, 22), lambda i: CAST(translate(substr(k, i, 1), 'ACTG', '0123') AS BIGINT) << (2 * (21 - i)))) AS BIGINT) AS code, substr(k, 2) || 'C' AS next, 'G' || substr(k, 1, 20) AS previous FROM k)
+    SELECT read_id, count(*) AS kmers, count(*) FILTER (WHERE is_rev) AS reversed, min(canonical) AS first_canonical, max(canonical) AS last_canonical, CAST(sum(code % 1000003) AS BIGINT) AS codes, max(next) AS last_next, min(previous) AS first_previous
+    FROM c GROUP BY 1"""
 )
 def canonical_kmer(spark, sf_dir):
-    rows = I.reads(spark, sf_dir).where("length(seq) >= 21").select("read_id", S.n_to_a(F.substring("seq", 1, 21)).alias("k"))
-    return rows.select(
+    """All 21-mers of every read, a row a read."""
+    rows = I.reads(spark, sf_dir).select("read_id", F.explode(S.kmers(S.n_to_a("seq"), 21)).alias("k"))
+    each = rows.select(
         "read_id", S.canonical("k").alias("canonical"), S.is_reverse("k").alias("is_rev"), S.pack("k").alias("code"), S.successor("k", F.lit("C")).alias("next"), S.predecessor("k", F.lit("G")).alias("previous")
     )
+    return each.groupBy("read_id").agg(
+        F.count("*").alias("kmers"), F.count_if("is_rev").alias("reversed"), F.min("canonical").alias("first_canonical"), F.max("canonical").alias("last_canonical"),
+        F.sum(F.col("code") % 1000003).alias("codes"), F.max("next").alias("last_next"), F.min("previous").alias("first_previous"),
+    )
 
 
 @query(
-    f"""WITH {I.READS_SQL}, b AS (SELECT read_id, translate(substr(seq, 1, 120), 'ACGTN', '11110') AS b FROM reads) SELECT read_id, CAST(length(regexp_extract(b, '^(.*11111)', 1)) AS INT) AS good FROM b"""
+    f"""WITH {I.READS_SQL}, b AS (SELECT read_id, translate(seq, 'ACGTN', '11110') AS b FROM reads) SELECT read_id, CAST(length(regexp_extract(b, '^(.*11111)', 1)) AS INT) AS good FROM b"""
 )
 def good_length(spark, sf_dir):
-    quals = F.transform(F.filter(F.split(F.substring("seq", 1, 120), ""), lambda c: c != ""), lambda c: F.when(c == "N", 2).otherwise(30))
+    quals = F.transform(F.filter(F.split("seq", ""), lambda c: c != ""), lambda c: F.when(c == "N", 2).otherwise(30))
     return I.reads(spark, sf_dir).select("read_id", S.good_length(quals, 5, 7).alias("good"))
 
 

@@ -35,27 +35,34 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
     It is the one the cluster names in ``spark.checkpoint.dir``. Where that is unset, as in
-    tests on one machine, a temporary folder is set as the session's own.
+    tests on one machine, a temporary folder is set as the session's own; a cluster has to name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="braidlake-shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
+def own_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/braidlake/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/braidlake/{name}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Delete what ``materialize`` has written to the shared folder. Call it once results are stored."""
+    """Delete what this application's ``materialize`` has written to the shared folder. Call it once results are stored."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/braidlake")
+    path = jvm.org.apache.hadoop.fs.Path(own_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -81,7 +81,7 @@ def barcode_of_header(name: str = "name"):
 def barcoded_pairs(spark: SparkSession, first: str, second: str) -> DataFrame:
     """Read pairs with the barcode of their headers: pair_id, name, barcode, barcode_id, seq1, quals1, seq2, quals2.
 
-    Mates are joined by name, and must carry the same barcode. Bases that weren't called become A. pair_id follows
+    Mates are joined by name, and must carry the same barcode; a read without its mate is an error. Bases that weren't called become A. pair_id follows
     the order of the first file.
     """
 
@@ -89,8 +89,8 @@ def barcoded_pairs(spark: SparkSession, first: str, second: str) -> DataFrame:
         rows = fastq(spark, path).withColumns({"barcode": barcode_of_header(), "id": F.substring_index("name", "/", 1)})
         return rows.select("id", F.col("barcode").alias(f"barcode{n}"), S.n_to_a("seq").alias(f"seq{n}"), S.phred("qual").alias(f"quals{n}"), F.struct("block_start", "ordinal").alias(f"at{n}"))
 
-    both = mates(first, 1).join(mates(second, 2), "id")
-    checked = both.where(F.assert_true(F.col("barcode1") == F.col("barcode2"), F.lit("mates with different barcodes")).isNull())
+    both = mates(first, 1).join(mates(second, 2), "id", "full")
+    checked = both.where(F.assert_true(F.col("barcode1") == F.col("barcode2"), F.lit("mates with different barcodes, or a read without its mate")).isNull())
     return checked.select(F.xxhash64("id").alias("pair_id"), F.col("id").alias("name"), F.col("barcode1").alias("barcode"), S.barcode_id("barcode1").alias("barcode_id"), "seq1", "quals1", "seq2", "quals2", F.col("at1").alias("at"))
 
 
