@@ -52,13 +52,16 @@ def map_pieces(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: T.St
 
 
 def filter_pieces(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
-    """The rows for which ``keep`` says so, with all their columns as they were."""
+    """The rows for which ``keep`` says so of their text, with all their columns as they were, of whatever names."""
+    plain, names = plainly(df)
+    text = place_of(names, "text")
+    at = int(text[1:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            yield piece.filter(pa.array(keep(piece), type=pa.bool_()))
+        for piece in pieces(batches, text):
+            yield piece.filter(pa.array(keep(pa.RecordBatch.from_arrays([piece.column(at)], names=["text"])), type=pa.bool_()))
 
-    return map_arrow(df, run, df.schema)
+    return map_arrow(plain, run, plain.schema).toDF(*names)
 
 
 def ranked(rows: DataFrame, key: str) -> DataFrame:
