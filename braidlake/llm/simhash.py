@@ -20,7 +20,7 @@ large and small stars, each round written to the shared folder.
 
 Defined cases: null or empty texts have fingerprint zero. Repeated rows stay rows of their own. An empty table
 gives an empty result. If all ids of a component are null, its component_id is null. Columns other than doc_id
-and text are ignored by ``components``, and kept by ``deduplicate``, whatever their names. Very long texts are read whole.
+and text are ignored, whatever their names. Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -30,14 +30,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from braidlake.operators import graph
 from braidlake.runtime import map_arrow, materialize
 
-from .common import columns_of, map_pieces, rows_of, texts_of, with_row
+from .common import columns_of, map_pieces, texts_of
 
 SHINGLE = 4
 SEED = 42
@@ -253,21 +253,3 @@ def components(docs: DataFrame) -> DataFrame:
     prints = materialize(fingerprints(docs), "prints")
     found = classes(prints.withColumn("h", F.lit(0).cast("long"))).select("fp", F.col("first.doc_id").alias("component_id"))
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns.
-
-    Among rows of that id the least text hash wins; rows equal in both stay once. A component whose ids are all
-    null keeps its least text hash.
-    """
-    keyed = columns_of(docs, doc_id="long", text="string").withColumn("h", F.xxhash64("text"))
-    schema = T.StructType([T.StructField(x, T.LongType()) for x in ("doc_id", "h", "fp")])
-    prints = materialize(map_pieces(keyed, lambda p: {"doc_id": p.column(0), "h": p.column(2), "fp": [fingerprint(x) for x in texts_of(p)]}, schema), "prints")
-    kept = classes(prints).groupBy("root").agg(F.first("first").alias("k"))
-    key = ["nil", "id", "hash"]
-    kept = kept.select(F.col("k.nil").alias("nil"), F.coalesce("k.doc_id", F.lit(0)).alias("id"), F.col("k.h").alias("hash"))
-    # the row travels as one column, so that no name of its own can clash
-    named = with_row(docs, doc_id="long", text="string").select("_row", F.col("doc_id").isNull().alias("nil"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
-    once = Window.partitionBy(*key).orderBy(*key)
-    return rows_of(named.join(kept, key, "left_semi").withColumn("n", F.row_number().over(once)).where("n = 1"), docs)

@@ -3,7 +3,6 @@ import re
 
 import numpy as np
 import xxhash
-from pyspark.sql import functions as F
 
 from braidlake.llm import simhash
 
@@ -100,16 +99,3 @@ def test_hot_keys_are_dealt_over_blocks(spark):
     prints = planted(120, 4)
     keys = {int(k): 3 for s in range(5) for k in np.unique(simhash.keys_of(np.array(prints, np.uint64), s))[::2]}
     check_links(spark, prints, keys)
-
-
-def test_deduplicate_keeps_one_of_each(spark, awkward, empty):
-    kept = simhash.deduplicate(awkward)
-    assert kept.columns == awkward.columns
-    want = brute_components([(r.doc_id, brute_print(r.text)) for r in awkward.select("doc_id", "text").collect()])
-    rows = kept.select("doc_id").collect()
-    named = [c for _, _, c in want if c is not None]
-    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == sorted(set(named))
-    assert simhash.deduplicate(empty).count() == 0
-    twice = simhash.deduplicate(kept)
-    assert twice.count() == kept.count()
-    assert kept.where(F.col("score") != "score").count() == 0
