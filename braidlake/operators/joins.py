@@ -168,7 +168,7 @@ def neighbour_cut(pairs: DataFrame, least: int = 6, share: float = 0.1) -> DataF
     """
     both = pairs.select(F.col("a").alias("owner"), F.col("b").alias("neighbour"), "common").unionByName(pairs.select(F.col("b").alias("owner"), F.col("a").alias("neighbour"), "common"))
     best = F.max("common").over(Window.partitionBy("owner"))
-    return both.where(F.col("common") >= least).withColumn("_best", best).where(F.col("common") >= share * F.col("_best")).drop("_best")
+    return both.where(F.col("common") >= least).withColumn("_best", best).where(F.col("common") / F.col("_best") >= share).drop("_best")
 
 
 def end_overlaps(near: DataFrame, far: DataFrame, least: int = 20, jaccard: float = 0.01, long_least: int = 10) -> DataFrame:

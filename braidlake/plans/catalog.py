@@ -408,11 +408,11 @@ def corrected_barcodes(spark, sf_dir):
     return joins.correct_barcodes(reads, often)
 
 
-OWNERS_SQL = "owners AS (SELECT DISTINCT l_suppkey % 60 AS owner, l_orderkey % 4000 AS item FROM lineitem)"
+OWNERS_SQL = "owners AS (SELECT DISTINCT l_suppkey AS owner, l_orderkey AS item FROM lineitem)"
 
 
 def owners(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").selectExpr("l_suppkey % 60 AS owner", "l_orderkey % 4000 AS item").distinct()
+    return table(spark, sf_dir, "lineitem").selectExpr("l_suppkey AS owner", "l_orderkey AS item").distinct()
 
 
 PAIRS_SQL = f"""{OWNERS_SQL}, sizes AS (SELECT owner, count(*) AS n FROM owners GROUP BY 1), common AS (SELECT x.owner AS a, y.owner AS b, count(*) AS common FROM owners x JOIN owners y USING (item)
@@ -426,10 +426,10 @@ def jaccard_pairs(spark, sf_dir):
 
 @query(
     f"""WITH {PAIRS_SQL}, both_ AS (SELECT a AS owner, b AS neighbour, common FROM pairs UNION ALL SELECT b, a, common FROM pairs), m AS (SELECT *, max(common) OVER (PARTITION BY owner) AS best FROM both_ WHERE common >= 6)
-    SELECT owner, neighbour, common FROM m WHERE common >= 0.98 * best"""
+    SELECT owner, neighbour, common FROM m WHERE common / best >= 0.1"""
 )
 def neighbour_cut(spark, sf_dir):
-    return joins.neighbour_cut(joins.overlap_pairs(owners(spark, sf_dir)), 6, 0.98)
+    return joins.neighbour_cut(joins.overlap_pairs(owners(spark, sf_dir)))
 
 
 @query(
@@ -719,14 +719,17 @@ def members(spark, sf_dir):
     return sets.members(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), big, "p_partkey")
 
 
-CONTAINED_SQL = "names AS (SELECT p_partkey AS name FROM part), edges AS (SELECT DISTINCT p_partkey AS a, p_partkey * 31 % (SELECT count(*) FROM part) AS b FROM part WHERE p_size > 30)"
+CONTAINED_SQL = """names AS (SELECT p_partkey AS name FROM part), sized AS (SELECT x.p_partkey AS x, y.p_partkey AS y, x.p_size AS x_size, y.p_size AS y_size FROM part x JOIN part y ON y.p_partkey = (x.p_partkey + 2) // 3),
+    edges AS (SELECT x AS a, y AS b FROM sized WHERE x_size <= y_size UNION SELECT y, x FROM sized WHERE x_size = y_size)"""
 REACH_SQL = f"RECURSIVE {CONTAINED_SQL}, reach AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)"
 
 
 def contained(spark, sf_dir):
-    parts = table(spark, sf_dir, "part")
-    count = parts.count()
-    return parts.where("p_size > 30").select(F.col("p_partkey").alias("a"), (F.col("p_partkey") * 31 % count).alias("b"))
+    """A part lies within the part of a third of its number if that is as large, and also the other way if they are equal."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    x, y = parts.toDF("x", "x_size").withColumn("y", F.expr("(x + 2) div 3")), parts.toDF("y", "y_size")
+    sized = x.join(y, "y")
+    return sized.where("x_size <= y_size").selectExpr("x AS a", "y AS b").union(sized.where("x_size = y_size").selectExpr("y AS a", "x AS b"))
 
 
 @query(f"WITH {REACH_SQL} SELECT a, b FROM reach WHERE a <> b")
@@ -860,8 +863,8 @@ def covered_bases(spark, sf_dir):
 
 
 @query(
-    f"""WITH RECURSIVE {I.LINKS_SQL}, sym AS (SELECT a, b FROM links UNION SELECT b, a FROM links), r AS (SELECT a AS node, a AS m FROM sym UNION SELECT s.b, r.m FROM r JOIN sym s ON s.a = r.node WHERE r.m < s.b)
-    SELECT node, min(m) AS root FROM r GROUP BY 1"""
+    f"""WITH RECURSIVE {I.LINKS_SQL}, sym AS (SELECT a, b FROM links UNION SELECT b, a FROM links), r(node, root) USING KEY (node) AS (SELECT a, least(a, min(b)) FROM sym GROUP BY 1
+    UNION SELECT s.b, min(r.root) FROM r JOIN sym s ON s.a = r.node JOIN recurring.r k ON k.node = s.b WHERE r.root < k.root GROUP BY 1) SELECT node, root FROM r"""
 )
 def connected_components(spark, sf_dir):
     found = graph.components(I.links(spark, sf_dir))
@@ -884,12 +887,15 @@ def graph_distances(spark, sf_dir):
     return graph.distances(steps, spark.range(1, 2).select(F.col("id").alias("node")), most=402)
 
 
-ENDS_SQL = """l AS (SELECT DISTINCT o_custkey * 2 + 1 AS a, o_custkey * 2 + 2 + o_orderkey % 2 AS b FROM orders WHERE o_totalprice > 400000), sym AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+ENDS_SQL = """o AS (SELECT o_custkey * 2 + 1 AS a, o_custkey * 2 + 2 + o_orderkey % 2 AS b, o_totalprice, max(o_totalprice) OVER (PARTITION BY o_custkey) AS best FROM orders),
+    l AS (SELECT DISTINCT a, b FROM o WHERE o_totalprice = best), sym AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
     one AS (SELECT a, min(b) AS b FROM sym GROUP BY 1 HAVING count(*) = 1)"""
 
 
 def ends(spark, sf_dir):
-    return table(spark, sf_dir, "orders").where("o_totalprice > 400000").selectExpr("o_custkey * 2 + 1 AS a", "o_custkey * 2 + 2 + o_orderkey % 2 AS b").distinct()
+    """Each order links a customer's tail to an end of the next customer; the dearest order of the two decides."""
+    rows = table(spark, sf_dir, "orders").selectExpr("o_custkey * 2 + 1 AS a", "o_custkey * 2 + 2 + o_orderkey % 2 AS b", "o_totalprice AS jaccard")
+    return graph.prune_orientations(rows).select("a", "b")
 
 
 @query(

@@ -88,24 +88,24 @@ def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy(F.col("l_orderkey").alias("read_id")).agg(F.transform(F.array_sort(F.collect_list("k")), lambda k: k["l_partkey"] % 200).alias("edges"))
 
 
-PLACEMENTS_SQL = """placements AS (SELECT l_orderkey AS pair_id, l_linenumber - 1 AS mate, l_suppkey % 3 AS edge, l_suppkey % 3 + 100 AS rc_edge, l_partkey % 2000 AS start, l_partkey % 2000 + 150 AS stop,
-  CAST(2500 AS BIGINT) AS edge_length, l_orderkey % 13 AS barcode FROM lineitem WHERE l_linenumber <= 2)"""
+PLACEMENTS_SQL = """placements AS (SELECT l_orderkey * 4 + (l_linenumber - 1) // 2 AS pair_id, (l_linenumber - 1) % 2 AS mate, l_suppkey % 3 AS edge, l_suppkey % 3 + 100 AS rc_edge, l_partkey % 2000 AS start, l_partkey % 2000 + 150 AS stop,
+  CAST(2500 AS BIGINT) AS edge_length, l_orderkey % 13 AS barcode FROM lineitem)"""
 
 
 def placements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pair_id, mate, edge, rc_edge, start, stop, edge_length, barcode: an order's first two lines as placed mates."""
-    return table(spark, sf_dir, "lineitem").where("l_linenumber <= 2").selectExpr(
-        "l_orderkey AS pair_id", "l_linenumber - 1 AS mate", "l_suppkey % 3 AS edge", "l_suppkey % 3 + 100 AS rc_edge", "l_partkey % 2000 AS start", "l_partkey % 2000 + 150 AS stop",
+    """pair_id, mate, edge, rc_edge, start, stop, edge_length, barcode: the lines of an order, two by two, as placed mates."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 4 + (l_linenumber - 1) div 2 AS pair_id", "(l_linenumber - 1) % 2 AS mate", "l_suppkey % 3 AS edge", "l_suppkey % 3 + 100 AS rc_edge", "l_partkey % 2000 AS start", "l_partkey % 2000 + 150 AS stop",
         "cast(2500 AS bigint) AS edge_length", "l_orderkey % 13 AS barcode",
     )
 
 
-LINKS_SQL = "links AS (SELECT DISTINCT l_partkey % 3001 AS a, 3001 + l_orderkey % 2999 AS b FROM lineitem WHERE l_quantity >= 47)"
+LINKS_SQL = "links AS (SELECT DISTINCT 2 * l_partkey AS a, 2 * l_orderkey + 1 AS b FROM lineitem)"
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """a, b: parts and orders of large lines as a sparse graph."""
-    return table(spark, sf_dir, "lineitem").where("l_quantity >= 47").selectExpr("l_partkey % 3001 AS a", "3001 + l_orderkey % 2999 AS b").distinct()
+    """a, b: parts and the orders that hold them as a graph."""
+    return table(spark, sf_dir, "lineitem").selectExpr("2 * l_partkey AS a", "2 * l_orderkey + 1 AS b").distinct()
 
 
 EDGES_SQL = """edges AS (SELECT CAST(p_partkey AS BIGINT) AS edge, p_partkey % 300 AS a, p_partkey * 7 % 311 + 300 AS b, CAST(p_size AS BIGINT) * 10 AS length, CAST(p_partkey AS BIGINT) + 1000000 AS rc FROM part)"""
