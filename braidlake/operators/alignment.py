@@ -135,7 +135,8 @@ def error_candidates(reads: DataFrame, k: int, rare: int = 1, solid: int = 3, se
     """read, pos, base, correct: bases in the middle of rare k-mers that one solid k-mer explains.
 
     k is odd. A k-mer seen at most ``rare`` times in all reads is an error if exactly one base in its middle makes
-    it one that is seen at least ``solid`` times. Both strands count together.
+    it one that is seen at least ``solid`` times. Both strands count together. N is a letter of its own here: put A for
+    it first (``functions.sequence.n_to_a``) where uncalled bases aren't to be filled in.
     """
     half = k // 2
     rows = kmers.exploded(reads, k, seq, read)

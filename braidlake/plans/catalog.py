@@ -1038,3 +1038,123 @@ def local_alignments(spark, sf_dir):
 def graph_lines(spark, sf_dir):
     """Lines of the graph of parts; tested on small graphs."""
     return lines_.lines(I.edges(spark, sf_dir))
+
+
+# Operators of sets, corrections, finished sequences and clean-up
+
+
+@query("SELECT o_orderkey, [ascii(c) - 33 FOR c IN string_split(o_orderpriority, '')] AS quals FROM orders")
+def phred_scores(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.phred("o_orderpriority").alias("quals"))
+
+
+@query("SELECT c_nationkey AS nation, c_acctbal AS balance FROM customer UNION ALL SELECT s_nationkey, s_acctbal FROM supplier")
+def union_of_all(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"))
+    return sets.union_all(customers, table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance")))
+
+
+@query("SELECT o_custkey, min(o_orderkey) AS partner FROM orders GROUP BY 1")
+def unique_with_partner(spark, sf_dir):
+    return sets.unique_with_partner(table(spark, sf_dir, "orders"), "o_custkey", F.col("o_orderkey"))
+
+
+@query("SELECT o_orderkey, round((o_totalprice / pow(1 + o_custkey % 5, 2) + 1000 / 4.0) / (1 / pow(1 + o_custkey % 5, 2) + 1 / 4.0), 6) AS mean, round(sqrt(1 / (1 / pow(1 + o_custkey % 5, 2) + 1 / 4.0)), 9) AS sd FROM orders")
+def combined_normals(spark, sf_dir):
+    both = N.combine_normals(F.col("o_totalprice").cast("double"), 1.0 + F.col("o_custkey") % 5, F.lit(1000.0), F.lit(2.0))
+    return table(spark, sf_dir, "orders").select("o_orderkey", both.alias("n")).select("o_orderkey", F.round("n.mean", 6).alias("mean"), F.round("n.sd", 9).alias("sd"))
+
+
+@query(
+    f"""WITH {I.ITEMS_SQL}, starts AS (SELECT read_id, translate(seq, 'N', 'A') AS seq, unnest(range(1, length(seq) - 7)) AS i FROM items WHERE length(seq) >= 9), k AS (SELECT read_id, i - 1 AS pos, substr(seq, i, 9) AS kmer FROM starts),
+    c AS (SELECT least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) AS c, count(*) AS n FROM k GROUP BY 1),
+    weak AS (SELECT k.* FROM k JOIN c ON c.c = least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) WHERE n <= 1),
+    tried AS (SELECT *, substr(kmer, 1, 4) || x || substr(kmer, 6) AS changed FROM weak, (SELECT unnest(['A', 'C', 'G', 'T']) AS x) WHERE x <> substr(kmer, 5, 1))
+    SELECT read_id, pos + 4 AS pos, substr(kmer, 5, 1) AS base, min(x) AS correct FROM tried JOIN c ON c.c = least(changed, reverse(translate(changed, 'ACGT', 'TGCA'))) WHERE n >= 3 GROUP BY read_id, pos, kmer HAVING count(*) = 1"""
+)
+def error_candidates(spark, sf_dir):
+    """Uncalled bases are taken as A, as ingest does."""
+    return alignment.error_candidates(I.items(spark, sf_dir).withColumn("seq", S.n_to_a("seq")), 9)
+
+
+@query(
+    """WITH b AS (SELECT o_custkey % 5 AS rname, o_orderkey AS pos, o_totalprice >= 40000 AS same FROM orders), r AS (SELECT *, count(*) FILTER (WHERE NOT same) OVER (PARTITION BY rname ORDER BY pos) AS run FROM b),
+    h AS (SELECT v, count(*) AS c FROM (SELECT count(*) AS v FROM r WHERE same GROUP BY rname, run) GROUP BY 1),
+    w AS (SELECT v, sum(v * c) OVER (ORDER BY v) AS upto, lead(v) OVER (ORDER BY v) AS nx, sum(v * c) OVER () AS total FROM h)
+    SELECT (SELECT CAST(arg_min(CASE WHEN 2 * upto = total AND nx IS NOT NULL THEN (v + nx) // 2 ELSE v END, v) AS BIGINT) FROM w WHERE 2 * upto >= total) AS perfect_n50,
+    (SELECT round(1000 * count(*) FILTER (WHERE NOT same) / count(*), 9) FROM b) AS errors_per_kb"""
+)
+def perfect_stretches(spark, sf_dir):
+    """Orders as a finished sequence; cheap ones differ from it or, below 10 000, are lacking."""
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 5).alias("rname"), F.col("o_orderkey").alias("pos"), F.col("o_orderstatus").alias("base"), "o_totalprice")
+    seen = rows.where("o_totalprice >= 10000").withColumn("base", F.when(F.col("o_totalprice") < 40_000, "N").otherwise(F.col("base")))
+    return alignment.perfect_stretches(seen.drop("o_totalprice"), rows.drop("o_totalprice")).withColumn("errors_per_kb", F.round("errors_per_kb", 9))
+
+
+JUMPS_SQL = """jumps AS (SELECT l_orderkey AS q, CAST(round(l_extendedprice * 100) AS BIGINT) AS qs, CAST(round(l_extendedprice * 100) AS BIGINT) + 1 + l_partkey AS qe, l_suppkey % 2 AS t,
+    CASE WHEN l_quantity > 15 THEN '+' ELSE '-' END AS strand, l_partkey * 1000 AS ts, l_partkey * 1000 + 500 AS te FROM lineitem)"""
+
+
+@query(
+    f"""WITH {JUMPS_SQL}, p AS (SELECT *, lag(t) OVER o AS t0, lag(strand) OVER o AS strand0, lag(ts) OVER o AS ts0, lag(te) OVER o AS te0, lag(qe) OVER o AS qe0, row_number() OVER o AS r FROM jumps WINDOW o AS (PARTITION BY q ORDER BY qs, qe))
+    SELECT q, count(*) FILTER (WHERE NOT (t = t0 AND strand = strand0 AND abs(CASE strand WHEN '+' THEN ts - te0 ELSE ts0 - te END - (qs - qe0)) <= 5000000)) AS breaks FROM p WHERE r > 1 GROUP BY 1"""
+)
+def misjoins(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS q", "cast(round(l_extendedprice * 100) AS bigint) AS qs", "cast(round(l_extendedprice * 100) AS bigint) + 1 + l_partkey AS qe", "l_suppkey % 2 AS t",
+        "if(l_quantity > 15, '+', '-') AS strand", "l_partkey * 1000 AS ts", "l_partkey * 1000 + 500 AS te",
+    )
+    return alignment.misjoins(rows, 5_000_000)
+
+
+@query(
+    """WITH p AS (SELECT l_partkey % 50 AS edge, lead(l_partkey % 50) OVER o AS next, lead(l_partkey % 50, 2) OVER o AS after, l_suppkey % 50 AS rc FROM lineitem WINDOW o AS (PARTITION BY l_suppkey ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_partkey))
+    SELECT DISTINCT next AS edge FROM p WHERE after = rc"""
+)
+def inversion_bubbles(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").selectExpr("l_suppkey AS line", "struct(l_extendedprice, l_orderkey, l_linenumber, l_partkey) AS ordinal", "l_partkey % 50 AS edge", "l_suppkey % 50 AS rc")
+    return graph.inversion_bubbles(rows)
+
+
+ENDS_OF_LINES_SQL = """ends AS (SELECT l_orderkey * 4 + (l_linenumber - 1) // 2 AS pair_id, (l_linenumber - 1) % 2 AS mate, l_suppkey % 40 * 2 + l_partkey % 2 AS line,
+    xor(l_suppkey % 40 * 2 + l_partkey % 2, 1) AS rc_line, l_partkey % 900 AS distance, l_orderkey % 97 AS support_id FROM lineitem)"""
+
+
+@query(
+    f"""WITH {ENDS_OF_LINES_SQL} SELECT x.line AS a, y.rc_line AS b, count(DISTINCT x.support_id) AS support FROM ends x JOIN ends y USING (pair_id) WHERE x.mate = 0 AND y.mate = 1 AND x.distance + y.distance <= 1000
+    AND x.line <> y.line AND x.line <> y.rc_line GROUP BY 1, 2 HAVING count(DISTINCT x.support_id) >= 2"""
+)
+def pair_links(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 4 + (l_linenumber - 1) div 2 AS pair_id", "(l_linenumber - 1) % 2 AS mate", "l_suppkey % 40 * 2 + l_partkey % 2 AS line", "(l_suppkey % 40 * 2 + l_partkey % 2) ^ 1 AS rc_line",
+        "l_partkey % 900 AS distance", "l_orderkey % 97 AS support_id",
+    )
+    return graph.pair_links(rows)
+
+
+@query(f"WITH chained AS ({ORACLE_SQL['mutual_best_chain']}) SELECT * FROM chained UNION ALL SELECT 2 * c_custkey, 0, c_custkey, false FROM customer WHERE c_custkey NOT IN (SELECT scaffold FROM chained)")
+def chains_and_singletons(spark, sf_dir):
+    return graph.with_singletons(mutual_best_chain(spark, sf_dir), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("scaffold")))
+
+
+@query(
+    """WITH e AS (SELECT p_partkey AS edge, p_partkey // 4 AS g, CAST(p_size AS BIGINT) AS length, p_partkey % 3 AS multiplicity FROM part),
+    per AS (SELECT g FROM e GROUP BY 1 HAVING coalesce(sum(length) FILTER (WHERE multiplicity = 1), 0) < 0.3 * sum(length)) SELECT edge FROM e JOIN per USING (g)"""
+)
+def low_unique(spark, sf_dir):
+    """Four parts in a row make a component: edges from one node to four others."""
+    parts = table(spark, sf_dir, "part")
+    rows = parts.selectExpr("p_partkey AS edge", "p_partkey div 4 * 8 AS a", "p_partkey div 4 * 8 + 1 + p_partkey % 4 AS b", "cast(p_size AS bigint) AS length")
+    return graph.low_unique(rows, parts.selectExpr("p_partkey AS edge", "p_partkey % 3 AS multiplicity"), fraction=0.3)
+
+
+@query(
+    """WITH e AS (SELECT p_partkey AS edge, p_partkey // 2 AS g, p_size AS length FROM part), two AS (SELECT g FROM e GROUP BY 1 HAVING count(*) = 2), own AS (SELECT DISTINCT l_partkey AS edge, l_orderkey AS pair_id FROM lineitem),
+    t AS (SELECT x.edge AS edge, y.edge AS other FROM e x JOIN e y USING (g) JOIN two USING (g) WHERE x.edge <> y.edge AND abs(x.length - y.length) BETWEEN 1 AND 20),
+    n AS (SELECT edge, other, (SELECT count(*) FROM own WHERE own.edge = t.edge) AS n1, (SELECT count(*) FROM own WHERE own.edge = t.other) AS n2,
+    (SELECT count(*) FROM own p JOIN own q USING (pair_id) WHERE p.edge = t.edge AND q.edge = t.other) AS c FROM t) SELECT edge FROM n WHERE n1 - c <= 30 AND n2 - c >= 1.5 * greatest(1, n1 - c)"""
+)
+def weak_bubbles(spark, sf_dir):
+    """Two parts in a row are the branches of a bubble, the orders that hold them its pairs."""
+    rows = table(spark, sf_dir, "part").selectExpr("p_partkey AS edge", "p_partkey div 2 * 2 AS a", "p_partkey div 2 * 2 + 1 AS b", "p_size AS length")
+    return graph.weak_bubbles(rows, table(spark, sf_dir, "lineitem").selectExpr("l_partkey AS edge", "l_orderkey AS pair_id"), 20, 30, 1.5)
