@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from braidlake.functions import numeric, ranges, sequence
 from braidlake.operators import aggregates, dedup, graph, intervals, joins, kmers, nstats, sets, sorting, windows
+from braidlake.plans import catalog
 
 
 def one(spark, *columns, **values):
@@ -410,3 +411,31 @@ def test_interval_sweeps_against_positions(spark):
     for r in intervals.classes(df, ["line"]).collect():
         assert all(depth[r.line, p] == r.depth for p in range(r.start, r.stop))
         assert depth[r.line, r.stop] != r.depth or r.depth == 0
+
+
+def test_summary_of_kmers_makes_no_row_a_window(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    rows = [(1, word(300)), (2, word(21)), (3, word(20)), (4, None), (5, ""), (6, word(90)), (6, word(40)), (None, word(25)), (None, word(30)), (7, "AC" * 40), (8, "T" * 60)]
+    monkeypatch.setattr(kmers, "WINDOWS", 50)
+    got = kmers.summary(spark.createDataFrame(rows, "read_id long, seq string").repartition(3), 21, "read_id")
+    want = {}
+    for owner, seq in rows:
+        want.setdefault(owner, []).extend(seq[i : i + 21] for i in range(len(seq or "") - 20))
+    rc = lambda x: x[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    code = lambda x: int(x.translate(str.maketrans("ACTG", "0123")), 4)
+    assert {tuple(r) for r in got.collect()} == {
+        (o, len(w), sum(x >= rc(x) for x in w), min(min(x, rc(x)) for x in w), max(min(x, rc(x)) for x in w), sum(code(x) % 1000003 for x in w), max(x[1:] + "C" for x in w), min("G" + x[:-1] for x in w))
+        for o, w in want.items()
+        if w
+    }
+    for k in (1, 2, 5, 16, 31):
+        text = word(80)
+        codes, back = kmers.packed(kmers.np.array(["ACGT".index(c) for c in text], kmers.np.uint8), k)
+        number = lambda x: int(x.translate(str.maketrans("ACGT", "0123")), 4)
+        assert codes.tolist() == [number(text[i : i + k]) for i in range(81 - k)] and back.tolist() == [number(rc(text[i : i + k])) for i in range(81 - k)]
+
+
+def test_canonical_kmer_sorts_no_windows(spark):
+    plan = catalog.canonical_kmer(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "explode" not in plan.lower() and "SortAggregate" not in plan
