@@ -13,8 +13,8 @@ from braidlake.runtime import materialize
 
 #: Below this many rows a side is broadcast; it is counted first.
 SMALL_SIDE = 200_000
-#: Entries of a calibration table, which become part of the plan.
-MOST_ENTRIES = 20_000
+#: A calibration table of so many entries becomes part of the plan; a larger one is met in ranges.
+PLAN_ENTRIES = 20_000
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -123,26 +123,55 @@ def point_join(points: DataFrame, intervals: DataFrame, width: int, at: str = "p
 def nearest(rows: DataFrame, table: DataFrame, value: str, key: str, result: str) -> DataFrame:
     """rows and, of the entry whose key is closest to their value, the result; of equally close ones the first key.
 
-    A calibration table is small and becomes a sorted array in the plan, searched by halves for each row: no pairs
-    are made and nothing is shuffled. Larger tables are refused.
+    A table of at most ``PLAN_ENTRIES`` keys becomes a sorted array in the plan, searched by halves for each row: no
+    pairs are made and nothing is shuffled. A larger one is met in ranges (``nearest_in_ranges``). Rows without a
+    value take the first key.
     """
-    entries = [(r[0], r[1]) for r in table.groupBy(key).agg(F.min(result)).orderBy(key).limit(MOST_ENTRIES + 1).collect()]
-    if len(entries) > MOST_ENTRIES:
-        raise ValueError(f"a calibration table has at most {MOST_ENTRIES} entries")
-    keys, results = F.lit([float(k) for k, _ in entries]), F.lit([r for _, r in entries])
+    entries = materialize(table.groupBy(F.col(key).cast("double").alias("key")).agg(F.min(result).alias("result")), "entries")
+    held = [(r[0], r[1]) for r in entries.orderBy("key").limit(PLAN_ENTRIES + 1).collect()]
+    if len(held) > PLAN_ENTRIES:
+        return nearest_in_ranges(rows, entries, value, result)
+    keys, results = F.lit([k for k, _ in held]), F.lit([r for _, r in held])
     # binary search over the sorted keys, folded over as many halvings as they need
-    steps = F.sequence(F.lit(1), F.lit(max(1, len(entries).bit_length())))
-    state = F.struct(F.lit(0).alias("low"), F.lit(len(entries)).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(max(1, len(held).bit_length())))
+    state = F.struct(F.lit(0).alias("low"), F.lit(len(held)).alias("high"))
     middle = lambda s: F.floor((s["low"] + s["high"]) / 2).cast("int")
     halved = lambda s, _: F.when(s["low"] >= s["high"], s).otherwise(
         F.when(F.get(keys, middle(s)) < F.col(value), F.struct((middle(s) + 1).alias("low"), s["high"].alias("high"))).otherwise(F.struct(s["low"].alias("low"), middle(s).alias("high")))
     )
     above = F.aggregate(steps, state, halved)["low"]
     below = above - 1
-    take_below = (below >= 0) & ((above >= len(entries)) | (F.col(value) - F.get(keys, below) <= F.get(keys, above) - F.col(value)))
+    take_below = (below >= 0) & ((above >= len(held)) | (F.col(value) - F.get(keys, below) <= F.get(keys, above) - F.col(value)))
     return rows.withColumn(result, F.get(results, F.when(take_below, below).otherwise(above)))
 
 
+def nearest_in_ranges(rows: DataFrame, entries: DataFrame, value: str, result: str) -> DataFrame:
+    """``nearest`` for a table of any size; entries: key (distinct) and result.
+
+    The distinct values and the keys are dealt to ranges and sorted there, so that each value sees the last key up to
+    it and the first from it on; where its range has none, the nearest range with a key gives its last or first one.
+    A value shared by many rows is looked up once.
+    """
+    seen = rows.select(F.col(value).cast("double").alias("v")).where("v is not null").distinct().select("v", F.lit(None).cast(entries.schema["result"].dataType).alias("result"), F.lit(False).alias("entry"))
+    both = entries.where("key is not null").select(F.col("key").alias("v"), "result", F.lit(True).alias("entry")).unionByName(seen)
+    dealt = materialize(both.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "ranges")
+    at = F.when(F.col("entry"), F.struct(F.col("v").alias("key"), "result"))
+    # of a range's keys the ends only: as many rows as there are ranges
+    ends = dealt.groupBy("part").agg(F.max(at).alias("highest"), F.min(at).alias("lowest"))
+    lower = F.last("highest", True).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    upper = F.last("lowest", True).over(Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select("part", lower.alias("lower"), upper.alias("upper"))
+    up = Window.partitionBy("part").orderBy("v", F.desc("entry")).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("part").orderBy(F.desc("v"), F.desc("entry")).rowsBetween(Window.unboundedPreceding, 0)
+    met = dealt.select("part", "v", "entry", F.last(at, True).over(up).alias("below"), F.last(at, True).over(down).alias("above")).where("not entry")
+    met = met.join(F.broadcast(ends), "part").select("v", F.coalesce("below", "lower").alias("below"), F.coalesce("above", "upper").alias("above"))
+    closer = F.col("above").isNull() | (F.col("v") - F.col("below.key") <= F.col("above.key") - F.col("v"))
+    found = met.select("v", F.when(F.col("below").isNotNull() & closer, F.col("below.result")).otherwise(F.col("above.result")).alias(result))
+    first = entries.where("key is not null").agg(F.min(F.struct("key", "result"))["result"].alias("_first"))
+    joined = rows.withColumn("_v", F.col(value).cast("double")).join(found.withColumnRenamed("v", "_v"), "_v", "left").crossJoin(F.broadcast(first))
+    return joined.withColumn(result, F.when(F.col("_v").isNull(), F.col("_first")).otherwise(F.col(result))).drop("_v", "_first")
+
+
 def overlap_pairs(items: DataFrame, owner: str = "owner", item: str = "item", most: int | None = None) -> DataFrame:
     """a < b with the number of items they share, both sizes and the Jaccard index.
 

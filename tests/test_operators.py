@@ -197,6 +197,34 @@ def test_nearest_takes_the_first_of_ties(spark):
     assert [r.r for r in joins.nearest(df, entries, "v", "k", "r").orderBy("v").collect()] == ["a", "a", "a", "b", "b", "c", "c"]
 
 
+
+def test_nearest_in_a_table_of_any_size(spark, monkeypatch):
+    rng = random.Random(3)
+    entries = [(round(rng.uniform(-999, 9999), 2), i) for i in range(3000)] + [(10.0, -5), (10.0, -4), (30.0, -6)]
+    values = [round(rng.uniform(-2000, 12000), 2) for _ in range(2000)] + [20.0, 10.0, -1e9, 1e9, None] + [5.5] * 500
+    keys = {}
+    for k, r in entries:
+        keys[k] = min(r, keys.get(k, r))
+    want = [(i, keys[min(keys, key=lambda k: (0 if v is None else abs(v - k), k))]) for i, v in enumerate(values)]
+    df = spark.createDataFrame(list(enumerate(values)), "i long, v double").repartition(5)
+    table = spark.createDataFrame(entries, "k double, r long").repartition(3)
+    for most in (20_000, 100):
+        monkeypatch.setattr(joins, "PLAN_ENTRIES", most)
+        got = joins.nearest(df, table, "v", "k", "r").select("i", "v", "r").collect()
+        assert sorted((r.i, r.r) for r in got) == want
+    # few keys among many values: whole ranges are without one
+    few = spark.createDataFrame([(100.0, "a"), (5000.0, "b")], "k double, r string")
+    monkeypatch.setattr(joins, "PLAN_ENTRIES", 1)
+    got = {r.i: r.r for r in joins.nearest(df, few, "v", "k", "r").collect()}
+    assert got == {i: "a" if v is None or abs(v - 100) <= abs(v - 5000) else "b" for i, v in enumerate(values)}
+
+
+def test_nearest_takes_more_entries_than_a_plan_holds(spark):
+    table = spark.range(30_001).selectExpr("id * 2.0D AS k", "id AS r")
+    got = joins.nearest(spark.createDataFrame([(3.0,), (60_000.5,), (41_234.9,)], "v double"), table, "v", "k", "r").collect()
+    assert sorted((r.v, r.r) for r in got) == [(3.0, 1), (41_234.9, 20_617), (60_000.5, 30_000)]
+
+
 def test_end_overlap_thresholds(spark):
     near = [(e, b, 6) for e in (1, 2) for b in range(20)] + [(4, b, 5) for b in range(20)] + [(3, b, 6) for b in range(20)]
     far = [(e, 100 + b, 6) for e in (1, 2) for b in range(10)]
