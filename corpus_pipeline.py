@@ -48,7 +48,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word similarity of 0.8 or more, within what SimHash tells."""
+    """One document of each group of near copies: all of a five-word similarity of 0.8 or more, and what SimHash links."""
     return nearcopies.deduplicate(docs)
 
 

@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from braidlake.llm import nearcopies
+from braidlake.llm import nearcopies, overlaps
 from braidlake.operators import graph
 
 ALL = (1 << 64) - 1
@@ -170,3 +171,71 @@ def test_hot_keys_are_estimated(spark, monkeypatch):
     ring[:300, 7] = 1234
     distinct = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(ring)], "node long, fp binary")
     assert nearcopies.hot_keys(distinct) == {7 << 16 | 1234: 6}
+
+
+def scattered(words, edits, rng):
+    """The words with some of them replaced at single places, each of which changes five shingles."""
+    out = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        out[at] = f"new{rng.randrange(10**6)}"
+    return out
+
+
+def near_texts(seed, n):
+    """Texts around 0.8, short and long, half of each with a passage that all share."""
+    rng, out = random.Random(seed), []
+    passage = [f"p{i}" for i in range(60)]
+    for i in range(n):
+        edits = rng.choice([0, 2, 4, 10])
+        size = 45 * edits + 4 or rng.choice([1, 4, 9])
+        words = [f"w{rng.randrange(3000)}" for _ in range(size)]
+        if edits and i % 2:
+            words[:60] = passage
+        # one edit more and they are below
+        out += [words] + [scattered(words, e, rng) for e in ((edits, edits, edits + 1) if edits else (0, 1))]
+    return [" ".join(w) for w in out]
+
+
+def least_reachable(texts, links):
+    roots = list(range(len(texts)))
+    for a, b in links:
+        x, y = roots[a], roots[b]
+        roots = [min(x, y) if r in (x, y) else r for r in roots]
+    return roots
+
+
+def test_no_pair_of_the_threshold_is_left_out(spark):
+    texts = near_texts(4, 60)
+    prints = [int.from_bytes(nearcopies.fingerprint(t), "little") for t in texts]
+    sets = [shingles(t) for t in texts]
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))]
+    near = {(a, b) for a, b in pairs if 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))}
+    linked = {(a, b) for a, b in pairs if brute_link(prints[a], prints[b])}
+    assert len(near - linked) > 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = sorted(r.doc_id for r in nearcopies.deduplicate(docs).collect())
+    assert got == sorted(set(least_reachable(texts, near | linked))) != sorted(set(least_reachable(texts, linked)))
+
+
+@pytest.mark.parametrize("split", [overlaps.SPLIT, 5])
+def test_overlaps_are_exact_whatever_the_order(spark, monkeypatch, split):
+    monkeypatch.setattr(overlaps, "SPLIT", split)
+    texts = near_texts(6, 40)
+    sets = [nearcopies.shingle_hashes(t) for t in texts]
+    keyed = spark.createDataFrame(list(enumerate(texts)), "h long, text string").repartition(3)
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if 9 * len(np.intersect1d(sets[a], sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))}
+    sampled = overlaps.order_of(keyed, nearcopies.shingle_hashes)
+    assert len(sampled.tokens) and bool(sampled.hot()) == (split == 5)
+    for order in (sampled, overlaps.Order(np.zeros(0, np.uint64), np.zeros(0, np.int64), 1)):
+        rows = [(i, i, *overlaps.columns(s, order), i) for i, s in enumerate(sets)]
+        units = spark.createDataFrame(rows, "unit long, root long, sig long, n int, prefix binary, bits binary, h long").repartition(3)
+        assert {(r.a, r.b) for r in overlaps.near_roots(keyed, units, order, nearcopies.shingle_hashes).collect()} == want
+
+
+def test_bitmaps_never_refuse_a_near_pair():
+    rng = np.random.default_rng(1)
+    for n in (1, 5, 300, 513, 5000, 90_000):
+        x = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        y = np.concatenate([x[n // 10 :], rng.integers(0, 1 << 63, n // 10).astype(np.uint64)])
+        assert overlaps.allowed(overlaps.bitmap(x), overlaps.bitmap(y), n, len(y))
+        assert not overlaps.allowed(overlaps.bitmap(x), overlaps.bitmap(~x), n, n) or n > 60_000 or n < 2
