@@ -27,9 +27,11 @@ from braidlake.runtime import map_arrow, materialize
 from .common import pieces, texts_of
 from .simhash import block_pairs
 
-#: Texts in the sample, and shingles that count as frequent at most.
-SAMPLE = 8_000
-FREQUENT = 200_000
+#: Texts in the sample at least (all, if fewer), and one of how many is sampled at most: a sample of a fixed size would
+#: see ever less of what many texts share, and candidates would grow with the square of the texts.
+SAMPLE, EVERY = 8_000, 8
+#: Shingles that count as frequent at most; all tasks hold them.
+FREQUENT = 400_000
 #: A shingle expected in the prefixes of more texts than this is dealt out over block pairs.
 SPLIT = 20_000
 #: Groups up to this size are compared row by row at a distance, larger ones each row with the rest.
@@ -64,7 +66,7 @@ class Order:
 
 def order_of(keyed: DataFrame, hashes: Hashes) -> Order:
     """keyed: text and its hash h."""
-    every = max(1, -(-keyed.count() // SAMPLE))
+    every = min(EVERY, max(1, -(-keyed.count() // SAMPLE)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
@@ -79,8 +81,8 @@ def order_of(keyed: DataFrame, hashes: Hashes) -> Order:
         if (held := held + tokens) > FREQUENT:
             least = n + 1
             break
-    rows = counts.where(F.col("n") >= least).collect()
-    tokens, n = np.array([r.token for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
+    rows = counts.where(F.col("n") >= least).toArrow()
+    tokens, n = rows.column("token").to_numpy().astype(np.int64).view(np.uint64), rows.column("n").to_numpy().astype(np.int64)
     at = np.argsort(tokens)
     return Order(tokens[at], n[at], every)
 
